@@ -15,8 +15,8 @@ from helioframe.operators.runs import best_runs, early_stop, training_progress
 
 _ID = "CAST(row_id AS BIGINT) AS row_id"
 
-# Small enough that every series of the test tables is cut into ranges.
-SPLIT_ROWS = 30
+# Small enough that every series of the test tables takes the split path.
+SPLIT = {"max_group_rows": 10, "piece_rows": 500}
 
 
 def _panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,20 +50,20 @@ def w3_fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("w3_fill_missing_split", _FILLED)
 def w3_fill_missing_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = fill_missing(
-        _panel(spark, sf_dir), BY, ORDER, GAPPY, staged=True, max_group_rows=SPLIT_ROWS
+        _panel(spark, sf_dir), BY, ORDER, GAPPY, staged=True, **SPLIT
     )
     return filled.select("row_id", *[r6(c).alias(c) for c in GAPPY])
 
 
 @register("w1_forward_fill_split", duck(f"SELECT {_ID}, {', '.join(f'{ffill_sql(c)} AS {c}' for c in GAPPY)} FROM obs"))
 def w1_forward_fill_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = ffill(_panel(spark, sf_dir), BY, ORDER, GAPPY, max_group_rows=SPLIT_ROWS)
+    out = ffill(_panel(spark, sf_dir), BY, ORDER, GAPPY, **SPLIT)
     return out.select("row_id", *GAPPY)
 
 
 @register("w2_backward_fill_split", duck(f"SELECT {_ID}, {', '.join(f'{bfill_sql(c)} AS {c}' for c in GAPPY)} FROM obs"))
 def w2_backward_fill_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = bfill(_panel(spark, sf_dir), BY, ORDER, GAPPY, max_group_rows=SPLIT_ROWS)
+    out = bfill(_panel(spark, sf_dir), BY, ORDER, GAPPY, **SPLIT)
     return out.select("row_id", *GAPPY)
 
 
@@ -87,7 +87,7 @@ def w4_training_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("w4_training_progress_split", _PROGRESS_QUERY)
 def w4_training_progress_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training_progress(view(spark, sf_dir, "runs"), "run_id", "epoch", "mae", max_group_rows=10)
+    return training_progress(view(spark, sf_dir, "runs"), "run_id", "epoch", "mae", **SPLIT)
 
 
 @register(

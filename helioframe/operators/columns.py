@@ -19,13 +19,9 @@ def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, kinds) and f.name not in skip]
 
 
-def feature_columns(df: DataFrame, exclude: Iterable[str], group_index: str | None = None) -> list[str]:
-    """Sorted numeric columns outside ``exclude``; ``group_index`` joins if present."""
-    skip = set(exclude)
-    names = set(numeric_columns(df, skip))
-    if group_index and group_index in df.columns:
-        names.add(group_index)
-    return sorted(names)
+def feature_columns(df: DataFrame, exclude: Iterable[str]) -> list[str]:
+    """Sorted numeric columns outside ``exclude``."""
+    return sorted(numeric_columns(df, exclude))
 
 
 def columns_except(df: DataFrame, exclude: Iterable[str]) -> DataFrame:

@@ -5,29 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.operators.ranges import MAX_GROUP_ROWS, as_series, fill_both_ways, running
+from helioframe.operators.ranges import MAX_GROUP_ROWS, PIECE_ROWS, as_series, fill_both_ways, running
 from helioframe.session import stage
 
 
 def ffill(
     df: DataFrame, by: list[str], order: list[str], cols: list[str],
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS, piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Carry the last value forward in time order; NaN counts as a value."""
-    series = as_series(df, by, order, max_group_rows)
+    series = as_series(df, by, order, max_group_rows, piece_rows)
     return running(series, {c: ("last", F.col(c)) for c in cols})
 
 
 def bfill(
     df: DataFrame, by: list[str], order: list[str], cols: list[str],
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS, piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Carry the next value back.
 
     Runs as a forward pass over descending order: a frame that grows from the
     current row to the end of the group would be recomputed for every row.
     """
-    series = as_series(df, by, order, max_group_rows)
+    series = as_series(df, by, order, max_group_rows, piece_rows)
     return running(series, {c: ("last", F.col(c)) for c in cols}, reverse=True)
 
 
@@ -62,6 +62,7 @@ def fill_missing(
     staged: bool = False,
     means_of: Column | None = None,
     max_group_rows: int | None = MAX_GROUP_ROWS,
+    piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Forward fill, backward fill, column mean, and 0 for a column without values.
 
@@ -73,7 +74,7 @@ def fill_missing(
     if not cols:
         return df
     doubles = df.withColumns({c: F.col(c).cast("double") for c in cols})
-    filled = fill_both_ways(as_series(doubles, by, order, max_group_rows), cols)
+    filled = fill_both_ways(as_series(doubles, by, order, max_group_rows, piece_rows), cols)
     if staged:
         filled = stage(filled, "filled")
     basis = filled if means_of is None else filled.filter(means_of)

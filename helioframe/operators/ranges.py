@@ -18,8 +18,11 @@ from helioframe.session import broadcast_if_small, stage
 
 # Groups above this many rows are split into ranges instead of one window.
 MAX_GROUP_ROWS = 2_000_000
+# Rows aimed at per range of a split group.
+PIECE_ROWS = 500_000
 
 CHUNK = "_chunk"
+SIZE = "_rows"
 _AT = "_at"
 _LOW_33_BITS = (1 << 33) - 1
 
@@ -131,25 +134,38 @@ def same_keys(left: str, right: str, keys: list[str]) -> Column:
     return out
 
 
+def group_sizes(df: DataFrame, by: list[str]) -> DataFrame:
+    """Rows per group in column ``_rows``."""
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias(SIZE))
+
+
 def as_series(
-    df: DataFrame, by: list[str], order: list[str], max_group_rows: int | None = MAX_GROUP_ROWS
+    df: DataFrame,
+    by: list[str],
+    order: list[str],
+    max_group_rows: int | None = MAX_GROUP_ROWS,
+    piece_rows: int = PIECE_ROWS,
+    sizes: DataFrame | None = None,
 ) -> Series:
     """Prepare ``df`` for series windows, splitting only groups above the limit.
 
-    The check is one narrow count by ``by`` with map-side combine. At most
-    rows / max_group_rows groups can exceed the limit.
+    The check is one narrow count by ``by`` with map-side combine, or ``sizes``
+    if the caller already has it. At most rows / max_group_rows groups can exceed
+    the limit. Rows of large groups are range-partitioned by ``by`` and ``order``,
+    so even equal times separate.
     """
     if max_group_rows is None:
         return Series(df, by, order, None, by)
-    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
-    large = stage(counts.filter(F.col("_rows") > max_group_rows), "large-groups")
-    total = large.agg(F.sum("_rows")).first()[0]
+    counts = group_sizes(df, by) if sizes is None else sizes
+    above = counts.filter(F.col(SIZE) > max_group_rows)
+    total = above.agg(F.sum(SIZE)).first()[0]
     if total is None:
         return Series(df, by, order, None, by)
-    ids = broadcast_if_small(large.drop("_rows")).alias("i")
+    large = stage(above, "large-groups")
+    ids = broadcast_if_small(large.select(*by)).alias("i")
     rows = df.alias("d")
     match = same_keys("d", "i", by)
-    pieces = max(2, math.ceil(4 * total / max_group_rows))
+    pieces = max(2, math.ceil(total / piece_rows))
     split = stage(
         rows.join(ids, match, "left_semi")
         .repartitionByRange(pieces, *by, *order)

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from helioframe.operators.ranges import MAX_GROUP_ROWS, as_series, running
+from helioframe.operators.ranges import MAX_GROUP_ROWS, PIECE_ROWS, as_series, running
 
 
 def training_progress(
     history: DataFrame, run: str, epoch: str, metric: str,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS, piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Per epoch: best metric so far, whether it improved, and epochs without gain.
 
@@ -20,7 +20,7 @@ def training_progress(
     score = F.nanvl(F.col(metric), F.lit(None).cast("double"))
     rows = history.select(run, epoch, score.alias(metric))
     seen = running(
-        as_series(rows, [run], [epoch], max_group_rows),
+        as_series(rows, [run], [epoch], max_group_rows, piece_rows),
         {"_best_before": ("min", F.col(metric)), "_epochs_before": ("sum", F.lit(1))},
         before=True,
     )
@@ -34,7 +34,7 @@ def training_progress(
     )
     # The same keys and order as above, so without split groups no new shuffle.
     last = running(
-        as_series(marked, [run], [epoch], max_group_rows),
+        as_series(marked, [run], [epoch], max_group_rows, piece_rows),
         {
             "_gain_step": ("last", F.when(F.col("improved"), F.col("_step"))),
             "best_epoch": ("last", F.when(F.col("improved"), F.col(epoch))),
@@ -53,14 +53,14 @@ def training_progress(
 
 def early_stop(
     history: DataFrame, run: str, epoch: str, metric: str, patience: int,
-    max_group_rows: int | None = MAX_GROUP_ROWS,
+    max_group_rows: int | None = MAX_GROUP_ROWS, piece_rows: int = PIECE_ROWS,
 ) -> DataFrame:
     """Per run: the stopping epoch (null if never) and the best epoch up to it.
 
     The row of the stopping epoch already knows the best result before it, so one
     mergeable aggregate per run is enough.
     """
-    progress = training_progress(history, run, epoch, metric, max_group_rows)
+    progress = training_progress(history, run, epoch, metric, max_group_rows, piece_rows)
     state = F.struct("best_epoch", F.col("best_so_far").alias(f"best_{metric}"))
     stopped = F.when(F.col("epochs_without_gain") >= patience, F.col(epoch))
     return (

@@ -56,14 +56,21 @@ def _mark(df: DataFrame, label: str, inside: Column, yes: str, no: str) -> DataF
 
 
 def label_groups(
-    df: DataFrame, group: str, ratio: float, seed: int, label: str = "split"
+    df: DataFrame,
+    group: str,
+    ratio: float,
+    seed: int,
+    label: str = "split",
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Mark rows ``val`` or ``train`` so that every group is on one side.
 
     round-half-even(groups * ratio) groups, at least 1 and at most all but one,
     are held out. Null groups get a null label. Fewer than two groups is an error.
+    ``ids`` may hold the distinct groups if the caller already has them.
     """
-    groups = df.select(group).distinct().select(key_hash(seed, group).alias("_h"))
+    ids = df.select(group).distinct() if ids is None else ids
+    groups = ids.select(key_hash(seed, group).alias("_h"))
 
     def size(n: Column) -> Column:
         wanted = F.bround(n * F.lit(float(ratio)), 0)

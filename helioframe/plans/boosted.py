@@ -84,10 +84,8 @@ def fit_positive_classifier(
     """Stage 1: probability that the target is positive. Frames hold ``_x`` and ``_label``."""
 
     def fit(rounds: int):
-        return GBTClassifier(
-            rawPredictionCol=RAW, probabilityCol=PROB, predictionCol=CLASS,
-            **_shared(params, rounds, seed, bins),
-        ).fit(train)
+        learner = GBTClassifier(predictionCol=CLASS, **_shared(params, rounds, seed, bins))
+        return learner.setRawPredictionCol(RAW).setProbabilityCol(PROB).fit(train)
 
     losses = None if val is None else lambda model: model.evaluateEachIteration(val)
     model, kept = fit_with_patience(fit, losses, params.rounds, params.patience)

@@ -13,7 +13,7 @@ from helioframe.operators.columns import feature_columns
 from helioframe.operators.fill import column_means, fill_with
 from helioframe.operators.filters import require_groups, with_target
 from helioframe.operators.groups import index_groups, lookup_index
-from helioframe.operators.ranges import MAX_GROUP_ROWS, as_series, fill_both_ways
+from helioframe.operators.ranges import MAX_GROUP_ROWS, as_series, fill_both_ways, group_sizes
 from helioframe.operators.sampling import label_groups
 from helioframe.operators.scale import apply_scaler, fit_scaler
 from helioframe.params import RunParams
@@ -42,11 +42,9 @@ def derive_features(df: DataFrame, params: RunParams) -> DataFrame:
 
 
 def select_features(df: DataFrame, params: RunParams) -> list[str]:
-    """Numeric columns outside target, keys and type; the group index for trees only."""
+    """Sorted numeric columns outside target, keys, type and group index."""
     skip = {params.target, params.group, params.time, params.type_col, *params.tie_break}
-    if not params.is_tree:
-        skip.add(GROUP_INDEX)
-    return feature_columns(df, skip, GROUP_INDEX if params.is_tree else None)
+    return feature_columns(df, {*skip, GROUP_INDEX})
 
 
 def prepare(
@@ -69,30 +67,32 @@ def prepare(
     test = derive_features(test, params)
     if not params.fill_before_filter:
         train = with_target(train, params.target)
-    require_groups(train, params.group)
-    vocabulary = index_groups([train, test], params.group, GROUP_INDEX)
-    train = lookup_index(train, vocabulary, params.group)
-    test = lookup_index(test, vocabulary, params.group)
+    # One narrow count per table answers the guard, the vocabulary, the split and
+    # the search for oversized groups.
+    group = params.group
+    train_sizes = stage(group_sizes(train, [group]), "train-groups")
+    test_sizes = stage(group_sizes(test, [group]), "test-groups")
+    require_groups(train_sizes, group)
+    vocabulary = index_groups([train_sizes, test_sizes], group, GROUP_INDEX)
 
     features = select_features(train, params)
-    fillable = [c for c in features if c != GROUP_INDEX]
-    keys = [params.group, params.time, *params.tie_break]
+    fillable = list(features)
+    if params.is_tree:
+        features = sorted([*features, GROUP_INDEX])
+    keys = [group, params.time, *params.tie_break]
+    order = [params.time, *params.tie_break]
     extra = [params.type_col] if params.type_col in test.columns else []
 
-    # The split label is a function of the group alone; computing it before the
-    # write keeps the hash lookup out of every later read.
-    labelled = label_groups(train, params.group, params.val_ratio, params.seed)
-    train_cols = [*keys, GROUP_INDEX, "split", params.target, *fillable]
-    test_cols = [*keys, *extra, GROUP_INDEX, *fillable]
-
-    def filled(df: DataFrame, cols: list[str], label: str) -> DataFrame:
+    def filled(df: DataFrame, cols: list[str], sizes: DataFrame, label: str) -> DataFrame:
         doubles = df.select(*cols).withColumns({c: F.col(c).cast("double") for c in fillable})
-        order = [params.time, *params.tie_break]
-        series = as_series(doubles, [params.group], order, max_group_rows)
-        return stage(fill_both_ways(series, fillable), label)
-
-    train_rows = filled(labelled, train_cols, "train")
-    test_rows = filled(test, test_cols, "test")
+        series = as_series(doubles, [group], order, max_group_rows, sizes=sizes)
+        rows = lookup_index(fill_both_ways(series, fillable), vocabulary, group)
+        return stage(rows, label)
+
+    # The split label depends on the group alone and is written with the rows.
+    labelled = label_groups(train, group, params.val_ratio, params.seed, ids=train_sizes)
+    train_rows = filled(labelled, [*keys, "split", params.target, *fillable], train_sizes, "train")
+    test_rows = filled(test, [*keys, *extra, *fillable], test_sizes, "test")
     basis = train_rows.filter(F.col("split") == "train") if params.means_from_train else train_rows
     train_means = stage(column_means(basis, fillable), "means")
     test_means = (
