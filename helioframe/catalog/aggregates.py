@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.catalog import register
@@ -32,16 +34,18 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unstack_columns(preds, ["row_id", "pv_id", "type", "y"], MODELS, "p")
 
 
-def _by_model(spark: SparkSession, sf_dir: str, **cols) -> DataFrame:
+def _by_model(
+    spark: SparkSession, sf_dir: str, **measures: Callable[[Column, Column], Column]
+) -> DataFrame:
+    y, p = F.col("y"), F.col("p")
     df = scored(spark, sf_dir).groupBy("model", "type")
-    return df.agg(*[r6(c).alias(n) for n, c in cols.items()])
+    return df.agg(*[r6(measure(y, p)).alias(n) for n, measure in measures.items()])
 
 
 def _by_model_sql(cols: str) -> str:
     return duck(f"SELECT model, type, {cols} FROM scored GROUP BY model, type", _LONG)
 
 
-_Y, _P = F.col("y"), F.col("p")
 _GAP2 = "(y - p) * (y - p)"
 
 
@@ -78,17 +82,17 @@ def a2_scaler_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("a3_mae", _by_model_sql(f"{r6_sql('avg(abs(y - p))')} AS mae"))
 def a3_mae(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _by_model(spark, sf_dir, mae=E.mae(_Y, _P))
+    return _by_model(spark, sf_dir, mae=E.mae)
 
 
 @register("a4_mse", _by_model_sql(f"{r6_sql(f'avg({_GAP2})')} AS mse"))
 def a4_mse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _by_model(spark, sf_dir, mse=E.mse(_Y, _P))
+    return _by_model(spark, sf_dir, mse=E.mse)
 
 
 @register("a5_rmse", _by_model_sql(f"{r6_sql(f'sqrt(avg({_GAP2}))')} AS rmse"))
 def a5_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _by_model(spark, sf_dir, rmse=E.rmse(_Y, _P))
+    return _by_model(spark, sf_dir, rmse=E.rmse)
 
 
 @register(
@@ -100,7 +104,8 @@ def a5_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def a6a_nmape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _by_model(
-        spark, sf_dir, nmape=E.nmape(_Y, _P), nmape_of_constant=E.nmape_by_constant(_Y, _P, 1300.0)
+        spark, sf_dir, nmape=E.nmape,
+        nmape_of_constant=lambda y, p: E.nmape_by_constant(y, p, 1300.0),
     )
 
 
@@ -125,8 +130,11 @@ _LOGGAP = f"(ln(1 + {positive_part_sql('p')}) - ln(1 + y)) * (ln(1 + {positive_p
     _by_model_sql(f"{r6_sql(f'avg({_LOGGAP})')} AS msle, {r6_sql(f'sqrt(avg({_LOGGAP}))')} AS rmsle"),
 )
 def a7_msle(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = clamp_negative(_P)
-    return _by_model(spark, sf_dir, msle=E.msle(_Y, p), rmsle=E.rmsle(_Y, p))
+    return _by_model(
+        spark, sf_dir,
+        msle=lambda y, p: E.msle(y, clamp_negative(p)),
+        rmsle=lambda y, p: E.rmsle(y, clamp_negative(p)),
+    )
 
 
 _OBS_COLS = ["row_id", "time", "pv_id", "type", *RAW, "energy", "nins"]
@@ -224,7 +232,7 @@ def a15_two_head_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def a16_smooth_l1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _by_model(spark, sf_dir, smooth_l1=F.avg(E.smooth_l1(_Y, _P)))
+    return _by_model(spark, sf_dir, smooth_l1=lambda y, p: F.avg(E.smooth_l1(y, p)))
 
 
 _PROB = "least(1 - 1e-15, greatest(1e-15, 1 / (1 + exp(-logit))))"
@@ -238,7 +246,7 @@ _PROB = "least(1 - 1e-15, greatest(1e-15, 1 / (1 + exp(-logit))))"
     ),
 )
 def a17_log_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loss = E.log_loss(positive_label(_Y), sigmoid(F.col("logit")))
+    loss = E.log_loss(positive_label(F.col("y")), sigmoid(F.col("logit")))
     return view(spark, sf_dir, "preds").groupBy("type").agg(r6(loss).alias("log_loss"))
 
 

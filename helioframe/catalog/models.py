@@ -24,7 +24,7 @@ from helioframe.plans.boosted import (
     LABEL, fit_hurdle, fit_plain_boosted, fit_positive_classifier, fit_size_regressor, informative,
     patience_cut,
 )
-from helioframe.plans.jobs import run, score_saved_models, train_and_deliver
+from helioframe.plans.jobs import evaluate, run, score_saved_models, train_and_deliver
 from helioframe.plans.linear import fit_feedforward, fit_row_split_baseline, fit_two_head
 from helioframe.plans.models import FittedModel, load_model
 from helioframe.plans.prepare import Prepared, prepare
@@ -187,11 +187,13 @@ def m4_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _saved_models(p: Prepared, spark: SparkSession, params: RunParams, n: int) -> list[str]:
+    """Fit, evaluate and save ``n`` models that differ in their seed."""
     paths = []
     for i in range(n):
         job = replace(params, seed=params.seed + i)
-        result = train_and_deliver(p, job, scratch_path(spark, f"model{i}"))
-        paths.append(result.model_path)
+        model = fit_hurdle(p, job)
+        model.metrics = evaluate(model, p.val, job)
+        paths.append(model.save(scratch_path(spark, f"model{i}"), spark))
     return paths
 
 
