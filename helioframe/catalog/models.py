@@ -54,7 +54,6 @@ def _scores(model: FittedModel, rows: DataFrame) -> DataFrame:
 
 # --- flagship: features, fill, split, constant predictor -----------------------
 
-_FLAG_COLS = [c for c in DERIVED]
 _LABELLED = "CASE WHEN pv_id IN (SELECT pv_id FROM held) THEN 'val' ELSE 'train' END AS split"
 _DERIVE = ", ".join(f"{t} AS {c}" for c, t in (TIME_SQL | DIFF_SQL).items())
 _RAW = ", ".join(RAW)
@@ -63,12 +62,11 @@ _DERIVED_CTE = f"derived AS (SELECT row_id, time, pv_id, type, nins, {_RAW}, {_D
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per split: rows, mean target, mean filled features, error of the train mean."""
-    obs = view(spark, sf_dir, "obs")
+    obs = label_groups(view(spark, sf_dir, "obs"), "pv_id", 0.2, SEED)
     wide = add_differences(add_time_features(obs, "time"))
-    cols = ["row_id", "time", "pv_id", "nins", *_FLAG_COLS]
-    filled = fill_missing(wide.select(*cols), ["pv_id"], ["time", "row_id"], _FLAG_COLS)
-    marked = label_groups(filled, "pv_id", 0.2, SEED)
-    known = label_groups(obs.select("pv_id", "nins"), "pv_id", 0.2, SEED).filter("split = 'train'")
+    cols = ["row_id", "time", "pv_id", "split", "nins", *DERIVED]
+    marked = fill_missing(wide.select(*cols), ["pv_id"], ["time", "row_id"], DERIVED)
+    known = obs.filter("split = 'train'")
     constant = known.agg(F.avg("nins").alias("m")).scalar()
     scored = marked.withColumn("p", constant)
     return scored.groupBy("split").agg(

@@ -5,22 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.session import broadcast_if_small
+from helioframe.session import broadcast_if_small, stage
 
 
 def with_target(df: DataFrame, target: str) -> DataFrame:
     return df.filter(F.col(target).isNotNull())
 
 
+def _listed(ids: DataFrame, key: str) -> DataFrame:
+    return broadcast_if_small(stage(ids.select(key).distinct(), "ids"))
+
+
 def members(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    return df.join(broadcast_if_small(ids.select(key)), key, "left_semi")
+    return df.join(_listed(ids, key), key, "left_semi")
 
 
 def non_members(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     """Rows outside ``ids``; a null key is neither in nor out."""
-    return df.filter(F.col(key).isNotNull()).join(
-        broadcast_if_small(ids.select(key)), key, "left_anti"
-    )
+    return df.filter(F.col(key).isNotNull()).join(_listed(ids, key), key, "left_anti")
 
 
 def positives(df: DataFrame, target: str, threshold: float = 0.0) -> DataFrame:

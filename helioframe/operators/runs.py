@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from helioframe.operators.ranges import MAX_GROUP_ROWS, PIECE_ROWS, as_series, running
+from helioframe.operators.ranges import MAX_GROUP_ROWS, PIECE_ROWS, as_series, group_sizes, running
+from helioframe.session import stage
 
 
 def training_progress(
@@ -19,8 +20,9 @@ def training_progress(
     """
     score = F.nanvl(F.col(metric), F.lit(None).cast("double"))
     rows = history.select(run, epoch, score.alias(metric))
+    sizes = None if max_group_rows is None else stage(group_sizes(rows, [run]), "run-sizes")
     seen = running(
-        as_series(rows, [run], [epoch], max_group_rows, piece_rows),
+        as_series(rows, [run], [epoch], max_group_rows, piece_rows, sizes),
         {"_best_before": ("min", F.col(metric)), "_epochs_before": ("sum", F.lit(1))},
         before=True,
     )
@@ -34,7 +36,7 @@ def training_progress(
     )
     # The same keys and order as above, so without split groups no new shuffle.
     last = running(
-        as_series(marked, [run], [epoch], max_group_rows, piece_rows),
+        as_series(marked, [run], [epoch], max_group_rows, piece_rows, sizes),
         {
             "_gain_step": ("last", F.when(F.col("improved"), F.col("_step"))),
             "best_epoch": ("last", F.when(F.col("improved"), F.col(epoch))),

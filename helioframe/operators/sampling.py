@@ -1,8 +1,8 @@
 """Reproducible splits and samples.
 
 Rows or groups are put in the order of an MD5 of seed and key. The wanted share
-is a prefix of that order, so it can be applied as a plain filter: one hash value
-is looked up, and no wide row is sorted or shuffled.
+is a prefix of that order, so it is applied as a comparison with one hash value:
+no wide row is sorted, shuffled or joined.
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-# Hex digits of the first histogram level: at most 16**5 buckets.
-_PREFIX = 5
+# Hex digits per search level: a histogram has at most 16**3 = 4096 buckets.
+_DIGITS = 3
+_BUCKETS = 16**_DIGITS
 
 
 def key_hash(seed: int, *keys: str) -> Column:
@@ -25,36 +25,49 @@ def key_hash(seed: int, *keys: str) -> Column:
     return F.md5(F.concat(*parts))
 
 
-def nth_hash(hashes: DataFrame, size: Callable[[Column], Column]) -> Column:
-    """The k-th smallest value of column ``_h``, where k = size(row count).
+def _walk(counts: DataFrame, k: int | None, size: Callable[[int], int]) -> tuple[str, int, int]:
+    """Bucket of the k-th value: (bucket, rank inside it, rows in it)."""
+    rows = sorted((r["b"], r["n"]) for r in counts.collect())  # at most _BUCKETS rows
+    if k is None:
+        k = size(sum(n for _, n in rows))
+    for bucket, n in rows:
+        if k <= n:
+            return bucket, k, n
+        k -= n
+    raise ValueError("fewer values than the wanted rank")
 
-    Exact in two narrow passes: a histogram over hash prefixes finds the bucket
-    that holds the k-th value, then only that bucket (a 1 / 16**5 share, as MD5
-    spreads keys evenly) is ordered. ``_h`` must be unique.
+
+def nth_hash(hashes: DataFrame, size: Callable[[int], int]) -> str:
+    """The k-th smallest value of column ``_h``, where k = size(number of values).
+
+    Exact. Each level is one narrow pass that counts values by the next three hex
+    digits, which combines to at most 4096 rows per task before the shuffle, and
+    descends into the bucket of the k-th value. MD5 spreads distinct keys evenly,
+    so 10**11 keys need three levels. The last level lists the few values left.
     """
-    bucket = F.substring("_h", 1, _PREFIX)
-    upto = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    everything = Window.partitionBy()
-    counts = hashes.filter(F.col("_h").isNotNull()).groupBy(bucket.alias("_b")).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    marked = (
-        counts.withColumn("_upto", F.sum("_n").over(upto))
-        .withColumn("_k", size(F.sum("_n").over(everything)).cast("bigint"))
-        .filter((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_n") < F.col("_k")))
-        .select(F.struct("_b", (F.col("_k") - F.col("_upto") + F.col("_n")).alias("_rest")))
-    )
-    hit = marked.scalar()
-    inside = hashes.filter(bucket == hit["_b"]).withColumn(
-        "_at", F.row_number().over(Window.orderBy("_h"))
-    )
-    return inside.filter(F.col("_at") == hit["_rest"]).select("_h").scalar()
+    hashes = hashes.filter(F.col("_h").isNotNull())
+    prefix, k, left = "", None, None
+    while len(prefix) < 30 and (left is None or left > _BUCKETS):
+        inside = hashes.filter(F.col("_h").startswith(prefix)) if prefix else hashes
+        digits = F.substring("_h", len(prefix) + 1, _DIGITS).alias("b")
+        counts = inside.groupBy(digits).agg(F.count(F.lit(1)).alias("n"))
+        digit, k, left = _walk(counts, k, size)
+        prefix += digit
+    rest = hashes.filter(F.col("_h").startswith(prefix)).groupBy(F.col("_h").alias("b"))
+    return _walk(rest.agg(F.count(F.lit(1)).alias("n")), k, size)[0]
 
 
 def _mark(df: DataFrame, label: str, inside: Column, yes: str, no: str) -> DataFrame:
     return df.withColumn(label, F.when(inside, F.lit(yes)).when(~inside, F.lit(no)))
 
 
+def held_out_groups(n: int, ratio: float) -> int:
+    """round-half-even(n * ratio), at least 1 and at most all but one."""
+    if n < 2:
+        raise ValueError("need at least two groups to split")
+    return max(1, min(round(n * ratio), n - 1))
+
+
 def label_groups(
     df: DataFrame,
     group: str,
@@ -65,20 +78,13 @@ def label_groups(
 ) -> DataFrame:
     """Mark rows ``val`` or ``train`` so that every group is on one side.
 
-    round-half-even(groups * ratio) groups, at least 1 and at most all but one,
-    are held out. Null groups get a null label. Fewer than two groups is an error.
-    ``ids`` may hold the distinct groups if the caller already has them.
+    Null groups get a null label. Fewer than two groups is an error. ``ids`` may
+    hold the distinct groups if the caller already has them.
     """
     ids = df.select(group).distinct() if ids is None else ids
-    groups = ids.select(key_hash(seed, group).alias("_h"))
-
-    def size(n: Column) -> Column:
-        wanted = F.bround(n * F.lit(float(ratio)), 0)
-        held = F.greatest(F.lit(1), F.least(wanted.cast("bigint"), n - 1))
-        short = F.raise_error(F.lit("need at least two groups to split"))
-        return F.when(n < 2, short).otherwise(held)
-
-    return _mark(df, label, key_hash(seed, group) <= nth_hash(groups, size), "val", "train")
+    hashes = ids.select(key_hash(seed, group).alias("_h"))
+    cut = nth_hash(hashes, lambda n: held_out_groups(n, ratio))
+    return _mark(df, label, key_hash(seed, group) <= F.lit(cut), "val", "train")
 
 
 def split_by_group(
@@ -91,6 +97,14 @@ def split_by_group(
     return train, val
 
 
+def _first(hashes: DataFrame, own: Column, size: Callable[[int], int]) -> Column:
+    """Whether a row is among the first size(n) of ``hashes``."""
+    total = hashes.count()
+    if total == 0 or size(total) < 1:
+        return F.lit(False)
+    return own <= F.lit(nth_hash(hashes, size))
+
+
 def label_rows(
     df: DataFrame, keys: list[str], ratio: float, seed: int, exact: bool = True,
     label: str = "split",
@@ -102,8 +116,7 @@ def label_rows(
     """
     own = key_hash(seed, *keys)
     if exact:
-        cut = nth_hash(df.select(own.alias("_h")), lambda n: F.floor(n * F.lit(float(ratio))))
-        inside = F.coalesce(own <= cut, F.lit(False))
+        inside = _first(df.select(own.alias("_h")), own, lambda n: int(n * ratio))
     else:
         inside = F.substring(own, 1, 8) < F.lit(f"{min(int(ratio * 2**32), 2**32 - 1):08x}")
     return _mark(df, label, inside, "train", "valid")
@@ -118,8 +131,5 @@ def subsample(
     own = key_hash(seed, *keys)
     if not exact:
         return df.filter(F.substring(own, 1, 8) < F.lit(f"{int(fraction * 2**32):08x}"))
-    cut = nth_hash(
-        df.select(own.alias("_h")),
-        lambda n: F.greatest(F.lit(1), F.floor(n * F.lit(float(fraction)))),
-    )
-    return df.filter(own <= cut)
+    hashes = df.select(own.alias("_h"))
+    return df.filter(_first(hashes, own, lambda n: max(1, int(n * fraction))))

@@ -147,9 +147,12 @@ def fit_hurdle(
         boost, params.seed, bins,
     )
     model.info["classifier_rounds"] = kept
-    size = F.col(y).alias(LABEL)
-    large = positives(train, y, t).select("_x", size)
-    if not large.isEmpty():
+    mean = positives(train, y, t).agg(F.avg(y)).first()[0]
+    if mean is not None:
+        # Absolute-loss rounds move a fixed step, so the target gets unit size.
+        model.info["size_scale"] = abs(mean) if boost.loss == "absolute" and mean else 1.0
+        size = (F.col(y) / F.lit(model.info["size_scale"])).alias(LABEL)
+        large = positives(train, y, t).select("_x", size)
         held_large = None
         if held is not None:
             held_large = positives(held, y, t).select("_x", size)

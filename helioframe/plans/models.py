@@ -53,7 +53,9 @@ class FittedModel:
             out = out.withColumn("logit", F.ln(F.col("probability") / (1.0 - F.col("probability"))))
             drop += [RAW, PROB, CLASS]
         if "regressor" in self.parts:
-            out = self.parts["regressor"].transform(out).withColumn("magnitude", F.col(SIZE))
+            out = self.parts["regressor"].transform(out).withColumn(
+                "magnitude", F.col(SIZE) * F.lit(float(self.info.get("size_scale", 1.0)))
+            )
             drop.append(SIZE)
         return out.drop(*drop)
 
