@@ -52,14 +52,15 @@ def quantiles(
     rule: str = "nearest",
     *,
     accuracy: int = ACCURACY,
-    small_rows: int = 20 * ACCURACY,
+    small_rows: int = 4 * ACCURACY,
 ) -> DataFrame:
     """Exact quantiles of many columns: (column_name, prob, value).
 
     A mergeable sketch brackets every wanted rank in one pass. A second pass
-    counts the rows below each bracket and keeps only values inside it, as
-    (value, count) pairs, and a distributed running total picks the exact rank.
-    Columns with at most ``small_rows`` values use their full range as bracket.
+    counts the rows below and inside each bracket; a rank outside its bracket gets
+    the full range of the column instead. Only values inside brackets are then
+    grouped to (value, count) pairs, and a distributed running total picks the
+    exact rank. Columns with at most ``small_rows`` values use their full range.
     ``rule`` is ``nearest`` (half up) or ``linear``.
     """
     spark = df.sparkSession
@@ -75,54 +76,66 @@ def quantiles(
             F.percentile_approx(v, sides, accuracy).alias(f"q{i}"),
         ]
     stats = df.agg(*sketch).first()
-    targets = []  # (column, bracket, prob, part, rank, weight)
-    brackets: dict[tuple[int, float, float], int] = {}
-    for i, c in enumerate(cols):
-        n = stats[f"n{i}"]
-        if n == 0:
-            continue
-        at = dict(zip(sides, stats[f"q{i}"]))
-        for prob in probs:
-            lo, hi = stats[f"lo{i}"], stats[f"hi{i}"]
-            if n > small_rows:
-                if prob - margin > 0.0:
-                    lo = at[max(prob - margin, 0.0)]
-                if prob + margin < 1.0:
-                    hi = at[min(prob + margin, 1.0)]
-            bracket = brackets.setdefault((i, lo, hi), len(brackets))
-            where = (n - 1) * prob
-            if rule == "nearest":
-                targets.append((c, bracket, prob, math.floor(where + 0.5), 1.0))
-            else:
-                share = where - math.floor(where)
-                targets.append((c, bracket, prob, math.floor(where), 1.0 - share))
-                targets.append((c, bracket, prob, math.ceil(where), share))
-    empty = "column_name string, prob double, value double"
-    if not targets:
-        return spark.createDataFrame([], empty)
-    below = df.agg(
-        *[F.count_if(_number(cols[i]) < F.lit(lo)).alias(f"b{b}") for (i, lo, _), b in brackets.items()]
-    ).first()
-    wanted = spark.createDataFrame(
-        [(c, b, p, rank - below[f"b{b}"], weight) for c, b, p, rank, weight in targets],
-        "column_name string, bracket int, prob double, at bigint, weight double",
-    )
-    inside = [
+    full = {i: (stats[f"lo{i}"], stats[f"hi{i}"]) for i in range(len(cols)) if stats[f"n{i}"]}
+    if not full:
+        return spark.createDataFrame([], "column_name string, prob double, value double")
+
+    def bracket(i: int, prob: float) -> tuple[float, float]:
+        lo, hi = full[i]
+        if stats[f"n{i}"] > small_rows:
+            at = dict(zip(sides, stats[f"q{i}"]))
+            lo = at[prob - margin] if prob - margin > 0.0 else lo
+            hi = at[prob + margin] if prob + margin < 1.0 else hi
+        return lo, hi
+
+    wanted = [(i, prob, *bracket(i, prob)) for i in full for prob in probs]
+    partial = sorted({(i, lo, hi) for i, _, lo, hi in wanted if (lo, hi) != full[i]})
+    counted = {(i, *full[i]): (0, stats[f"n{i}"]) for i in full}
+    if partial:
+        tests = [
+            F.count_if(test).alias(f"{name}{b}")
+            for b, (i, lo, hi) in enumerate(partial)
+            for name, test in (
+                ("below", _number(cols[i]) < F.lit(lo)),
+                ("inside", _number(cols[i]).between(F.lit(lo), F.lit(hi))),
+            )
+        ]
+        row = df.agg(*tests).first()
+        counted |= {key: (row[f"below{b}"], row[f"inside{b}"]) for b, key in enumerate(partial)}
+
+    used: dict[tuple[int, float, float], int] = {}
+    ranks = []  # (column, bracket, prob, rank inside the bracket, weight)
+    for i, prob, lo, hi in wanted:
+        where = (stats[f"n{i}"] - 1) * prob
+        if rule == "nearest":
+            parts = [(math.floor(where + 0.5), 1.0)]
+        else:
+            share = where - math.floor(where)
+            parts = [(math.floor(where), 1.0 - share), (math.ceil(where), share)]
+        below, inside = counted[i, lo, hi]
+        if not all(below <= rank < below + inside for rank, _ in parts):
+            (lo, hi), below = full[i], 0
+        b = used.setdefault((i, lo, hi), len(used))
+        ranks += [(cols[i], b, prob, rank - below, weight) for rank, weight in parts]
+
+    values = [
         F.when(
             _number(cols[i]).between(F.lit(lo), F.lit(hi)),
             F.struct(F.lit(b).alias("bracket"), _number(cols[i]).alias("value")),
         )
-        for (i, lo, hi), b in brackets.items()
+        for (i, lo, hi), b in used.items()
     ]
     sizes = (
-        df.select(F.explode(F.array_compact(F.array(*inside))).alias("_e"))
+        df.select(F.explode(F.array_compact(F.array(*values))).alias("_e"))
         .select("_e.*")
         .groupBy("bracket", "value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     totals = running_totals(sizes, ["value"], "_n", "_upto", by=["bracket"])
-    # ``wanted`` has a few rows per column, built from the arguments.
-    picked = totals.join(F.broadcast(wanted), "bracket").filter(
+    schema = "column_name string, bracket int, prob double, at bigint, weight double"
+    # One or two rows per column and probability, whatever the data holds.
+    targets = F.broadcast(spark.createDataFrame(ranks, schema))
+    picked = totals.join(targets, "bracket").filter(
         (F.col("at") < F.col("_upto")) & (F.col("at") >= F.col("_upto") - F.col("_n"))
     )
     return picked.groupBy("column_name", "prob").agg(

@@ -84,9 +84,9 @@ def test_best_runs_limits_before_the_shuffle(frame, capsys):
     assert "WindowGroupLimit" in capsys.readouterr().out
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
+@pytest.mark.parametrize("accuracy, small_rows", [(100, 10**6), (100, 0), (3, 0)])
 @pytest.mark.parametrize("rule", ["nearest", "linear"])
-def test_quantiles_equal_brute_force(spark, rule, small_rows):
+def test_quantiles_equal_brute_force(spark, rule, accuracy, small_rows):
     rnd = np.random.default_rng(4)
     n = 4000
     a = np.where(rnd.random(n) < 0.4, 3.0, rnd.normal(size=n).round(4) * 10)
@@ -94,7 +94,7 @@ def test_quantiles_equal_brute_force(spark, rule, small_rows):
     df = spark.createDataFrame([(float(x), float(y)) for x, y in zip(a, b)], "a double, b double").repartition(6)
     probs = [0.0, 0.01, 0.25, 0.5, 0.75, 0.999, 1.0]
     got = {(r["column_name"], r["prob"]): r["value"] for r in
-           quantiles(df, ["a", "b"], probs, rule, accuracy=100, small_rows=small_rows).collect()}
+           quantiles(df, ["a", "b"], probs, rule, accuracy=accuracy, small_rows=small_rows).collect()}
     for name, values in (("a", np.sort(a)), ("b", np.sort(b))):
         for p in probs:
             exact = np.quantile(values, p) if rule == "linear" else values[int(np.floor((n - 1) * p + 0.5))]
