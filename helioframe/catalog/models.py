@@ -17,12 +17,13 @@ from helioframe.fixtures import duck, view
 from helioframe.functions.calendar import add_time_features
 from helioframe.functions.scalars import add_differences, clamp_negative
 from helioframe.operators.fill import bfill, fill_missing
+from helioframe.operators.filters import positives
 from helioframe.operators.metrics import regression_metrics, two_head_loss
 from helioframe.operators.sampling import label_groups
 from helioframe.params import RunParams
 from helioframe.plans.boosted import (
     LABEL, fit_hurdle, fit_plain_boosted, fit_positive_classifier, fit_size_regressor, informative,
-    patience_cut,
+    patience_cut, size_scale,
 )
 from helioframe.plans.jobs import evaluate, run, score_saved_models, train_and_deliver
 from helioframe.plans.linear import fit_feedforward, fit_row_split_baseline, fit_two_head
@@ -155,11 +156,14 @@ def m1_positive_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("m2_size_regressor")
 def m2_size_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, model, train, val = _stage_inputs(spark, sf_dir)
-    size = F.col("nins").alias(LABEL)
+    boost = SHORT.boosting()
+    large, large_val = positives(train, "nins"), positives(val, "nins")
+    scale = size_scale(large, "nins", boost.loss)
+    size = (F.col("nins") / scale).alias(LABEL)
     fitted, _ = fit_size_regressor(
-        train.filter("nins > 0").select("_x", size), val.filter("nins > 0").select("_x", size),
-        SHORT.boosting(), SEED, 64,
+        large.select("_x", size), large_val.select("_x", size), boost, SEED, 64
     )
+    model.info["size_scale"] = scale
     model.parts["regressor"] = fitted
     return model.heads(p.test).select("row_id", r6("magnitude").alias("magnitude"))
 

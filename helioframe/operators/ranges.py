@@ -169,10 +169,13 @@ def as_series(
     split = stage(
         rows.join(ids, match, "left_semi")
         .repartitionByRange(pieces, *by, *order)
-        .withColumn(CHUNK, F.spark_partition_id()),
+        .sortWithinPartitions(*by, *order)
+        .withColumns({CHUNK: F.spark_partition_id(), _AT: F.monotonically_increasing_id()}),
         "split-groups",
     )
-    rest = rows.join(ids, match, "left_anti").withColumn(CHUNK, F.lit(-1))
+    rest = rows.join(ids, match, "left_anti").withColumns(
+        {CHUNK: F.lit(-1), _AT: F.lit(None).cast("bigint")}
+    )
     return Series(split.unionByName(rest), by, order, split, [*by, CHUNK])
 
 
@@ -183,9 +186,9 @@ def _with_carries(series: Series, df: DataFrame, carries: DataFrame) -> DataFram
     return joined.select("r.*", *[F.col(f"c.{n}") for n in names])
 
 
-def _nearest(series: Series, value: str, last: bool) -> Column:
+def _nearest(value: str, last: bool) -> Column:
     """Last (or first) non-null value of a piece, as a mergeable aggregate."""
-    at = F.when(F.col(value).isNotNull(), F.struct(*series.order))
+    at = F.when(F.col(value).isNotNull(), F.col(_AT))
     return F.max_by(value, at) if last else F.min_by(value, at)
 
 
@@ -209,8 +212,8 @@ def fill_both_ways(series: Series, cols: list[str]) -> DataFrame:
     edges = {}
     carried = []
     for i, c in enumerate(cols):
-        edges[f"_l{i}"] = _nearest(series, c, last=True)
-        edges[f"_f{i}"] = _nearest(series, c, last=False)
+        edges[f"_l{i}"] = _nearest(c, last=True)
+        edges[f"_f{i}"] = _nearest(c, last=False)
         carried.append(F.last(f"_l{i}", True).over(earlier).alias(f"_p{i}"))
         carried.append(F.last(f"_f{i}", True).over(later).alias(f"_n{i}"))
     carries = (
@@ -230,7 +233,7 @@ def fill_both_ways(series: Series, cols: list[str]) -> DataFrame:
         }
     )
     helpers = [f"{p}{i}" for p in ("_up", "_in", "_p", "_n") for i in range(len(cols))]
-    return out.drop(*helpers, CHUNK)
+    return out.drop(*helpers, CHUNK, _AT)
 
 
 def _fold(kind: str, value: str) -> Column:
@@ -270,7 +273,7 @@ def running(
     )
     pieces = series.split.withColumns(inputs)
     totals = [
-        (_nearest(series, f"_v{i}", last=not reverse) if kind == "last" else _fold(kind, f"_v{i}"))
+        (_nearest(f"_v{i}", last=not reverse) if kind == "last" else _fold(kind, f"_v{i}"))
         .alias(f"_t{i}")
         for i, kind in enumerate(kinds)
     ]
@@ -292,4 +295,4 @@ def running(
     out = out.withColumns(
         {name: merge[k](F.col(name), F.col(f"_c{i}")) for i, (name, k) in enumerate(zip(values, kinds))}
     )
-    return out.drop(*inputs, *[f"_c{i}" for i in range(len(kinds))], CHUNK)
+    return out.drop(*inputs, *[f"_c{i}" for i in range(len(kinds))], CHUNK, _AT)

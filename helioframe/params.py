@@ -20,7 +20,7 @@ class BoostParams:
     feature_fraction: float
     max_bins: int
     patience: int
-    loss: str = "squared"
+    loss: str = "absolute"
 
 
 @dataclass(frozen=True)
@@ -66,7 +66,7 @@ class RunParams:
     boost_max_depth: int = -1
     boost_sample_fraction: float = 0.4
     boost_patience: int = 50
-    boost_loss: str = "squared"
+    boost_loss: str = "absolute"
     # scoring only
     inference_only: bool = False
     model_paths: tuple[str, ...] = ()

@@ -92,6 +92,18 @@ def fit_positive_classifier(
     return PipelineModel([model]), kept
 
 
+def size_scale(rows: DataFrame, y: str, loss: str) -> float | None:
+    """Divisor of the stage-2 target; None without rows.
+
+    A round of absolute loss moves predictions by a fixed step whatever the unit
+    of the target, so the target is brought to a mean size of 1.
+    """
+    mean = rows.agg(F.avg(F.abs(F.col(y))).alias("m")).first()["m"]
+    if mean is None:
+        return None
+    return mean if loss == "absolute" and mean > 0 else 1.0
+
+
 def fit_size_regressor(
     train: DataFrame, val: DataFrame | None, params: BoostParams, seed: int, bins: int
 ) -> tuple[PipelineModel, int]:
@@ -147,11 +159,10 @@ def fit_hurdle(
         boost, params.seed, bins,
     )
     model.info["classifier_rounds"] = kept
-    mean = positives(train, y, t).agg(F.avg(y)).first()[0]
-    if mean is not None:
-        # Absolute-loss rounds move a fixed step, so the target gets unit size.
-        model.info["size_scale"] = abs(mean) if boost.loss == "absolute" and mean else 1.0
-        size = (F.col(y) / F.lit(model.info["size_scale"])).alias(LABEL)
+    scale = size_scale(positives(train, y, t), y, boost.loss)
+    if scale is not None:
+        model.info["size_scale"] = scale
+        size = (F.col(y) / F.lit(scale)).alias(LABEL)
         large = positives(train, y, t).select("_x", size)
         held_large = None
         if held is not None:

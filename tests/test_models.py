@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_DIR
 from helioframe.catalog.models import SHORT, prepared
 from helioframe.fixtures import view
+from helioframe.operators import ranges
 from helioframe.params import RunParams
 from helioframe.plans.boosted import fit_hurdle, fit_positive_classifier, patience_cut
 from helioframe.plans.jobs import evaluate, score_saved_models, train_and_deliver
@@ -82,6 +83,19 @@ def test_options_of_the_fill(spark):
     assert temps(replace(base, fill_before_filter=True, means_from_train=True))[4] in (5.0, 9.0)
 
 
+def test_preparation_with_split_groups(spark, trees, monkeypatch):
+    """Cutting every series into ranges changes nothing but the plan."""
+    monkeypatch.setattr(ranges, "PIECE_ROWS", 100)
+    obs = view(spark, SF_DIR, "obs")
+    cut = prepare(obs.filter("type = 'train'"), obs.filter("type = 'test'"),
+                  view(spark, SF_DIR, "template"), SHORT, max_group_rows=20)
+    for ours, theirs in ((cut.train, trees.train), (cut.val, trees.val), (cut.test, trees.test)):
+        cols = sorted(ours.columns)
+        rounded = [[F.round(c, 9).alias(c) if c in cut.features else c for c in cols]]
+        a, b = ours.select(*rounded[0]), theirs.select(*rounded[0])
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
 def test_hurdle_model(spark, trees, tmp_path):
     params = replace(SHORT, boost_rounds=10, boost_patience=5, boost_sample_fraction=1.0)
     model = fit_hurdle(trees, params)
