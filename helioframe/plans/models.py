@@ -50,7 +50,8 @@ class FittedModel:
         if "classifier" in self.parts:
             out = self.parts["classifier"].transform(out)
             out = out.withColumn("probability", vector_to_array(PROB)[1])
-            out = out.withColumn("logit", F.ln(F.col("probability") / (1.0 - F.col("probability"))))
+            # A boosted margin m stands for the probability 1 / (1 + exp(-2 m)).
+            out = out.withColumn("logit", vector_to_array(RAW)[1] * 2.0)
             drop += [RAW, PROB, CLASS]
         if "regressor" in self.parts:
             out = self.parts["regressor"].transform(out).withColumn(

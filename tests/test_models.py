@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_DIR
 from helioframe.catalog.models import SHORT, prepared
 from helioframe.fixtures import view
+from helioframe.functions.scalars import sigmoid
 from helioframe.operators import ranges
 from helioframe.params import RunParams
 from helioframe.plans.boosted import fit_hurdle, fit_positive_classifier, patience_cut
@@ -102,6 +103,8 @@ def test_hurdle_model(spark, trees, tmp_path):
     scores = model.score(trees.test).select("row_id", "prediction").collect()
     assert len(scores) == trees.test.count()
     assert all(math.isfinite(r["prediction"]) and r["prediction"] >= 0 for r in scores)
+    head = model.heads(trees.test).select(F.max(F.abs(sigmoid(F.col("logit")) - F.col("probability")))).first()
+    assert head[0] < 1e-12
     model.metrics = evaluate(model, trees.val, params)
     median = trees.train.agg(F.median("nins")).first()[0]
     assert model.metrics["mae"] < trees.val.agg(F.avg(F.abs(F.col("nins") - median))).first()[0]

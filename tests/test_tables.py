@@ -118,8 +118,12 @@ def test_histogram_covers_all_bins(frame):
 
 
 def test_correlation_is_symmetric(spark):
-    df = spark.range(50).select(F.col("id").alias("a"), (-F.col("id")).alias("b"))
-    got = {(r["column_x"], r["column_y"]): r["corr"] for r in corr_matrix(df, ["a", "b"]).collect()}
+    df = spark.range(50).select(
+        F.col("id").alias("a"), (-F.col("id")).alias("b"), F.lit(1.0).alias("flat"),
+        F.lit(None).cast("double").alias("none"),
+    )
+    got = {(r["column_x"], r["column_y"]): r["corr"] for r in corr_matrix(df, df.columns).collect()}
+    assert len(got) == 16 and got["a", "flat"] is got["none", "b"] is got["flat", "flat"] is None
     assert got["a", "b"] == got["b", "a"] == pytest.approx(-1.0) and got["a", "a"] == pytest.approx(1.0)
 
 
