@@ -74,3 +74,15 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         contaminated().alias("contaminated"),
     )
+
+
+@register("op5_quality_rules")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, posterior quality and verdict of every document."""
+    from helioframe.llm.quality_rules import assess
+
+    judged = assess(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "quality",
+    )
