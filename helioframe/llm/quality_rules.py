@@ -2,8 +2,8 @@
 
 Each rule votes good (1), bad (-1) or abstains (0) on a document. Expectation-
 maximisation over the table of vote patterns estimates how often each rule gives each
-vote on good and on bad documents (its coverage and accuracy) and the share of good
-documents; a document's posterior probability of being good replaces an
+vote on good documents and on every kind of bad ones (its coverage and accuracy), and
+the share of each; a document's posterior probability of being good replaces an
 all-rules-must-pass filter.
 
 Scale: counts come from one map over the texts, written once with the votes. The
@@ -18,6 +18,7 @@ columns stay inside ``row`` and cannot clash.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import log
 
 from pyspark.sql import Column, DataFrame
@@ -28,9 +29,9 @@ from helioframe.session import stage
 SPACE = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-ROUNDS = 20
+ROUNDS = 10
 SMOOTHING = 1.0
-GOOD, BAD, ABSTAIN = 1, -1, 0
+GOOD, BAD, ABSTAIN = VOTES = 1, -1, 0
 
 
 def base_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -85,8 +86,10 @@ def base_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = No
     )
 
 
-def _vote(good: Column, bad: Column) -> Column:
-    return F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN)
+def _vote(bad: Column, good: Column | None = None) -> Column:
+    """A rule without ``good`` only ever votes bad: passing it says nothing about the rest."""
+    said = F.when(bad, BAD)
+    return (said if good is None else said.when(good, GOOD)).otherwise(ABSTAIN)
 
 
 def rules() -> dict[str, Column]:
@@ -94,27 +97,20 @@ def rules() -> dict[str, Column]:
     n, some = F.col("n_words"), F.col("n_words") > 0
     mean = F.col("word_chars") / n
     return {
-        "symbols": _vote(F.col("n_symbols") * 50 <= n, F.col("n_symbols") * 10 > n),
-        "dup_lines": _vote(
-            (F.col("n_dup_lines") == 0) & (F.col("n_lines") >= 3), F.col("n_dup_lines") * 10 > F.col("n_lines") * 4
-        ),
-        "repeats": _vote(F.col("n_repeat_words") * 10 <= n, F.col("n_repeat_words") * 10 > n * 4),
-        "shouts": _vote(F.col("n_shouts") * 50 <= n, F.col("n_shouts") * 4 > n),
-        "capitals": _vote(
-            some & (F.col("n_upper") * 5 <= F.col("n_letters")), F.col("n_upper") * 2 > F.col("n_letters")
-        ),
-        "word_length": _vote(some & mean.between(3, 9), some & ((mean < 2) | (mean > 14))),
+        "symbols": _vote(F.col("n_symbols") * 10 > n),
+        "dup_lines": _vote(F.col("n_dup_lines") * 10 > F.col("n_lines") * 4),
+        "repeats": _vote(F.col("n_repeat_words") * 10 > n * 4),
+        "shouts": _vote(F.col("n_shouts") * 4 > n),
+        "capitals": _vote(F.col("n_upper") * 2 > F.col("n_letters")),
+        "variety": _vote((n >= 30) & (F.col("n_distinct") * 10 < n) & (F.col("n_distinct") < 300)),
+        "word_length": _vote(some & ((mean < 2) | (mean > 14)), some & mean.between(3, 9)),
         "letters": _vote(
-            some & (F.col("n_letters") * 10 >= F.col("word_chars") * 8),
             some & (F.col("n_letters") * 10 < F.col("word_chars") * 6),
-        ),
-        "variety": _vote(
-            (n >= 30) & (F.col("n_distinct") * n >= 0.3 * n * n) | (n >= 1000) & (F.col("n_distinct") >= 300),
-            (n >= 30) & (F.col("n_distinct") * 10 < n),
+            some & (F.col("n_letters") * 10 >= F.col("word_chars") * 8),
         ),
         "sentences": _vote(
-            (F.col("n_lines") > 0) & (F.col("n_ended") * 10 >= F.col("n_lines") * 7),
             (F.col("n_lines") >= 3) & (F.col("n_ended") * 10 < F.col("n_lines")),
+            (F.col("n_lines") > 0) & (F.col("n_ended") * 10 >= F.col("n_lines") * 7),
         ),
     }
 
@@ -124,44 +120,76 @@ def base_failed() -> Column:
     return (n < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * n)
 
 
-def _posterior(names: list[str], prior: float, rates: dict[str, dict[int, tuple[float, float]]]) -> Column:
-    """Probability of good, from log odds summed over the votes."""
-    odds = F.lit(log(prior / (1 - prior)))
-    for name in names:
-        step = {v: log(g / b) for v, (g, b) in rates[name].items()}
-        odds = odds + F.when(F.col(name) == GOOD, step[GOOD]).when(F.col(name) == BAD, step[BAD]).otherwise(step[ABSTAIN])
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
+@dataclass
+class Model:
+    """``priors[k]``, and ``rates[rule][vote][k]``: how often kind k gets that vote. Kind 0 is
+    good, kind k the sort of bad document that rule k was made for."""
+
+    priors: list[float]
+    rates: dict[str, dict[int, list[float]]]
+
+    def accuracy(self, rule: str) -> float | None:
+        """Share of the rule's votes that agree with good or bad; None if it never votes."""
+        joint = {v: [p * r for p, r in zip(self.priors, self.rates[rule][v], strict=True)] for v in (GOOD, BAD)}
+        right = joint[GOOD][0] + sum(joint[BAD][1:])
+        cast = sum(map(sum, joint.values()))
+        return right / cast if cast else None
 
 
-def fit(patterns: DataFrame, names: list[str], rounds: int = ROUNDS):
-    """Prior of good and, for each rule and vote, its probability on good and on bad documents.
+def with_shares(df: DataFrame, names: list[str], model: Model) -> DataFrame:
+    """Adds ``q0`` (posterior of good), ``q1`` ... of the other kinds.
 
-    The first round calls a document bad when any rule votes bad. ``patterns`` has one
-    row for each pattern of votes and its ``count``.
+    Built in three projections, so each sum of logs is planned and computed once.
     """
-    weight = F.when(F.least(*names) < 0, 0.05).otherwise(0.95)
-    prior, rates = 0.5, {n: {v: (1 / 3, 1 / 3) for v in (GOOD, BAD, ABSTAIN)} for n in names}
+    kinds = range(len(model.priors))
+    logs = {}
+    for kind in kinds:
+        total = F.lit(log(model.priors[kind]))
+        for name in names:
+            step = {v: log(model.rates[name][v][kind]) for v in VOTES}
+            vote = F.col(name)
+            total = total + F.when(vote == GOOD, step[GOOD]).when(vote == BAD, step[BAD]).otherwise(step[ABSTAIN])
+        logs[f"q{kind}"] = total
+    out = df.withColumns(logs)
+    out = out.withColumn("q_most", F.greatest(*[F.col(f"q{k}") for k in kinds]))
+    out = out.withColumns({f"q{k}": F.exp(F.col(f"q{k}") - F.col("q_most")) for k in kinds})
+    out = out.withColumn("q_all", sum((F.col(f"q{k}") for k in kinds), F.lit(0.0)))
+    return out.withColumns({f"q{k}": F.col(f"q{k}") / F.col("q_all") for k in kinds}).drop("q_most", "q_all")
+
+
+def fit(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> Model:
+    """Expectation-maximisation over good documents and one kind of bad ones per rule.
+
+    Bad documents differ in kind, so votes are independent only within a kind; with a
+    single bad class the estimate would follow its largest kind and call the others
+    good. The first round shares a document with bad votes among the kinds of those
+    rules. ``patterns`` has one row for each pattern of votes and its ``count``.
+    """
+    bad = sum((F.when(F.col(n) == BAD, 1).otherwise(0) for n in names), F.lit(0))
+    kinds = range(len(names) + 1)
+    model = Model([1 / len(kinds)] * len(kinds), {n: {v: [1 / 3] * len(kinds) for v in VOTES} for n in names})
+    shared = patterns.withColumn("bad", bad).withColumn("q0", F.when(F.col("bad") > 0, 0.05).otherwise(0.95))
+    for k, n in enumerate(names, 1):
+        mine = 0.95 * (F.col(n) == BAD).cast("double") / F.col("bad")
+        shared = shared.withColumn(f"q{k}", F.when(F.col("bad") > 0, mine).otherwise(0.05 / len(names)))
     for _ in range(rounds):
-        good = weight * F.col("count")
-        sums = [F.sum("count").alias("all"), F.sum(good).alias("good")]
-        for n in names:
-            for v in (GOOD, BAD, ABSTAIN):
-                at = F.col(n) == v
-                sums += [F.sum(F.when(at, F.col("count"))).alias(f"{n} {v}"), F.sum(F.when(at, good)).alias(f"{n} {v} good")]
-        row = patterns.agg(*sums).first()
-        if not row["all"]:
+        votes = F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("vote")) for n in names]))
+        long = shared.select(votes.alias("v"), *[(F.col(f"q{k}") * F.col("count")).alias(f"q{k}") for k in kinds])
+        found = {
+            (r["rule"], r["vote"]): [r[f"q{k}"] for k in kinds]
+            for r in long.groupBy("v.rule", "v.vote").agg(*[F.sum(f"q{k}").alias(f"q{k}") for k in kinds]).collect()
+        }  # at most three rows for each rule
+        if not found:
             break
-        total, kept = float(row["all"]), float(row["good"])
-        prior = (kept + SMOOTHING) / (total + 2 * SMOOTHING)
+        none = [0.0] * len(kinds)
+        sums = [sum(found.get((names[0], v), none)[k] for v in VOTES) for k in kinds]
+        model.priors = [(s + SMOOTHING) / (sum(sums) + SMOOTHING * len(sums)) for s in sums]
         for n in names:
-            for v in (GOOD, BAD, ABSTAIN):
-                both, mine = float(row[f"{n} {v}"] or 0), float(row[f"{n} {v} good"] or 0)
-                rates[n][v] = (
-                    (mine + SMOOTHING) / (kept + 3 * SMOOTHING),
-                    (max(both - mine, 0.0) + SMOOTHING) / (max(total - kept, 0.0) + 3 * SMOOTHING),
-                )
-        weight = _posterior(names, prior, rates)
-    return prior, rates
+            for v in VOTES:
+                mine = found.get((n, v), none)
+                model.rates[n][v] = [(mine[k] + SMOOTHING) / (sums[k] + 3 * SMOOTHING) for k in kinds]
+        shared = with_shares(patterns, names, model)
+    return model
 
 
 def assess(docs: DataFrame, text: str = "text", keep: list[str] | None = None, rounds: int = ROUNDS) -> DataFrame:
@@ -171,9 +199,9 @@ def assess(docs: DataFrame, text: str = "text", keep: list[str] | None = None, r
     names = list(votes)
     judged = stage(base_counts(docs, text, keep).select("*", *[v.alias(n) for n, v in votes.items()]), "votes")
     patterns = stage(judged.groupBy(*names).count(), "patterns")
-    prior, rates = fit(patterns, names, rounds)
+    model = fit(patterns, names, rounds)
     return (
-        judged.withColumn("quality", _posterior(names, prior, rates))
+        with_shares(judged, names, model).withColumnRenamed("q0", "quality").drop(*[f"q{k}" for k in range(1, len(names) + 1)])
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5))
     )
