@@ -86,3 +86,34 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "quality",
     )
+
+
+OP7_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(list_slice(ws, i, i + least(len(ws), 4) - 1), ' ') AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - least(len(ws), 4) + 2)) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (sh)
+    WHERE x.doc_id <> y.doc_id GROUP BY ALL) p JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b
+  WHERE 100 * p.c >= 80 * (na.n + nb.n - p.c)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+  least(w.doc_id, coalesce(m.c, w.doc_id)) AS component_id, w.doc_id <= coalesce(m.c, w.doc_id) AS kept
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) m USING (doc_id)
+"""
+
+
+@register("op7_tensor_minhash", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under 0.8 similarity of 4-word shingles."""
+    from helioframe.llm.tensor_minhash import near_duplicates
+
+    found = near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id",
+        (F.col("component_id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"),
+    )
