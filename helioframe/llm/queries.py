@@ -88,6 +88,17 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register("op1_vector_packing")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens."""
+    import public_tokenizers
+
+    from helioframe.llm.vector_packing import pack
+
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), with_ids=False)
+    return pieces.withColumnRenamed("id", "doc_id")
+
+
 OP7_SQL = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
