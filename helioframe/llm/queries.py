@@ -128,3 +128,17 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_shingles", "component_id",
         (F.col("component_id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept"),
     )
+
+
+@register("op10_run_length_index")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat 100 bytes of an earlier place."""
+    from helioframe.llm.run_length_index import remove_repeats
+
+    cut = remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return cut.select(
+        "row.doc_id", "n_bytes",
+        F.expr("CAST(aggregate(spans, 0L, (n, x) -> n + x.end - x.start) AS BIGINT)").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
