@@ -330,11 +330,24 @@ def _merged_hits(hits: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> pa.Re
     return _span_batch(ids[context[lead]], base + offset[lead], base + offset[last] + LENGTH)
 
 
+def _whole_characters(text: np.ndarray, runs: list[list[int]]) -> str:
+    lead = (text & 0xC0) != 0x80
+    out, at = [], 0
+    for lo, hi in runs:
+        while lo < hi and not lead[lo]:
+            lo += 1
+        while lo < hi < len(text) and not lead[hi]:
+            hi -= 1
+        out.append(text[at:lo].tobytes())
+        at = max(lo, hi)
+    return b"".join([*out, text[at:].tobytes()]).decode()
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     for batch in slices(batches, "text"):
         data, places = texts_of(batch.column("text"))
-        kept, spans = [], []
+        kept, spans, clean = [], [], []
         for i, found in enumerate(batch.column("found").to_pylist()):
             text = data[places[i] : places[i + 1]]
             runs: list[list[int]] = []
@@ -346,16 +359,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             edges = [0, *(x for r in runs for x in r), len(text)]
             kept.append(b"".join(text[a:b].tobytes() for a, b in zip(edges[::2], edges[1::2], strict=True)))
             spans.append([{"start": a, "end": b} for a, b in runs])
+            clean.append(_whole_characters(text, runs))
         yield pa.RecordBatch.from_arrays(
             [batch.column("row"), pa.array(np.diff(places), pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()),
-             batch.column("text")],
-            names=["row", "n_bytes", "spans", "kept", "text"],
+             pa.array(clean, pa.string())],
+            names=["row", "n_bytes", "spans", "kept", "clean"],
         )
 
 
 def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``row`` (columns ``keep``, else all), ``n_bytes``, ``spans`` (removed runs of bytes),
-    ``kept`` (remaining bytes) and ``text`` (as it was, null as empty)."""
+    ``kept`` (remaining bytes) and ``clean`` (the text without those characters that lie
+    wholly in a removed run, so it is valid wherever a run starts or ends)."""
     key = F.coalesce(F.col(id).cast("bigint"), F.lit(_LAST)).alias("id")
     body = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
     texts = docs.select(key, body, F.struct(*[F.col(c) for c in keep or docs.columns]).alias("row"))
@@ -371,5 +386,5 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
     joined = texts.join(per_text, "id", "left").select("row", "text", "found")
     row = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(
-        _cut, f"row {row}, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary, text string"
+        _cut, f"row {row}, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary, clean string"
     )
