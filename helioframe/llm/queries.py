@@ -142,3 +142,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@register("op2_suffix_tree_lm")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text under the suffix tree and under word counts."""
+    from helioframe.llm.suffix_tree_lm import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
