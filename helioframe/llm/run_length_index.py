@@ -361,9 +361,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans.append([{"start": a, "end": b} for a, b in runs])
             clean.append(_whole_characters(text, runs))
         yield pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array(np.diff(places), pa.int64()), pa.array(spans, span), pa.array(kept, pa.binary()),
-             pa.array(clean, pa.string())],
-            names=["row", "n_bytes", "spans", "kept", "clean"],
+            [batch.column("text"), batch.column("rest"), pa.array(np.diff(places), pa.int64()), pa.array(spans, span),
+             pa.array(kept, pa.binary()), pa.array(clean, pa.string())],
+            names=["text", "rest", "n_bytes", "spans", "kept", "clean"],
         )
 
 
@@ -371,20 +371,27 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
     """``row`` (columns ``keep``, else all), ``n_bytes``, ``spans`` (removed runs of bytes),
     ``kept`` (remaining bytes) and ``clean`` (the text without those characters that lie
     wholly in a removed run, so it is valid wherever a run starts or ends)."""
-    key = F.coalesce(F.col(id).cast("bigint"), F.lit(_LAST)).alias("id")
-    body = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")
-    texts = docs.select(key, body, F.struct(*[F.col(c) for c in keep or docs.columns]).alias("row"))
-    found = docs.select(key, body).mapInArrow(_anchor_rows, "a bigint, id bigint")
+    keep = keep or docs.columns
+    # Both joins below read the same three columns, so the texts are shuffled once.
+    texts = docs.select(
+        F.coalesce(F.col(id).cast("bigint"), F.lit(_LAST)).alias("id"),
+        F.col(text).cast("string").alias("text"),
+        F.struct(F.lit(0).alias("_"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep) if c != text]).alias("rest"),
+    )
+    found = texts.select("id", "text").mapInArrow(_anchor_rows, "a bigint, id bigint")
     often = found.groupBy("a").agg(F.count("*").alias("k")).where("k > 1")
     lists = found.join(often, "a").groupBy("id").agg(
         F.collect_set(F.when(F.col("k") <= HOT, F.col("a"))).alias("cold"),
         F.collect_set(F.when(F.col("k") > HOT, F.col("a"))).alias("hot"),
     )
-    contexts = texts.join(lists, "id").select("id", "text", "cold", "hot").mapInArrow(_context_rows, _CONTEXT)
+    contexts = texts.join(lists, "id").select("id", "text", "rest", "cold", "hot").mapInArrow(_context_rows, _CONTEXT)
     spans = contexts.repartition("key").sortWithinPartitions("key", "id", "s").mapInArrow(_match, _SPAN)
     per_text = spans.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
-    joined = texts.join(per_text, "id", "left").select("row", "text", "found")
-    row = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(
-        _cut, f"row {row}, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary, clean string"
+    joined = texts.join(per_text, "id", "left").select("text", "rest", "found")
+    rest = joined.schema["rest"].dataType.simpleString()
+    cut = joined.mapInArrow(
+        _cut,
+        f"text string, rest {rest}, n_bytes bigint, spans array<struct<start: bigint, end: bigint>>, kept binary, clean string",
     )
+    row = [(F.col("text") if c == text else F.col(f"rest.c{i}")).alias(c) for i, c in enumerate(keep)]
+    return cut.select(F.struct(*row).alias("row"), "n_bytes", "spans", "kept", "clean")
