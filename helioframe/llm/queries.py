@@ -150,3 +150,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from helioframe.llm.suffix_tree_lm import score_texts
 
     return score_texts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@register("op4_piece_langid")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from the labelled training documents."""
+    import public_tokenizers
+
+    from helioframe.llm.piece_langid import identify
+
+    found = identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")
