@@ -161,3 +161,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = identify(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@register("op3_pu_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every text, from trusted positives and unlabelled text."""
+    from helioframe.llm.pu_quality import classify
+
+    found = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.withColumnRenamed("id", "doc_id")
