@@ -170,3 +170,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@register("op9_host_suffix_array")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from helioframe.llm.host_suffix_array import main_text
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = main_text(pages, keep=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("bigint").alias("n_chars"))
