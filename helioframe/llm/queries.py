@@ -180,3 +180,16 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = main_text(pages, keep=["page_id", "url"])
     return found.select("row.page_id", "row.url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+@register("op6_collinear_chains")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that repeat, with edits, an earlier document's."""
+    from helioframe.llm.collinear_chains import fuzzy_passages
+
+    found = fuzzy_passages(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"), F.col("source").alias("source_doc_id"), F.col("start").alias("start_word"),
+        F.col("end").alias("end_word"), F.col("source_start").alias("source_start_word"),
+        F.col("source_end").alias("source_end_word"), (F.col("equal") / F.col("columns")).alias("similarity"),
+    )
