@@ -95,7 +95,7 @@ def _vote(bad: Column, good: Column | None = None) -> Column:
 def rules() -> dict[str, Column]:
     """Votes over the counts. Thresholds are shares of words, letters or lines."""
     n, some = F.col("n_words"), F.col("n_words") > 0
-    mean = F.col("word_chars") / n
+    mean = F.try_divide(F.col("word_chars"), n)  # null without words
     return {
         "symbols": _vote(F.col("n_symbols") * 10 > n),
         "dup_lines": _vote(F.col("n_dup_lines") * 10 > F.col("n_lines") * 4),

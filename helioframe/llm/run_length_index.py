@@ -7,18 +7,20 @@ input. Matches never cross documents.
 1. Anchors. Each window of ``LENGTH`` bytes has as anchor its ``SEED``-byte piece of
    least hash (leftmost of equals). Equal windows have equal anchors, so only anchors
    that occur twice can lie in repeated windows. Counts are pre-aggregated per task.
-2. Contexts. The windows of one anchor, as one run of bytes, go to the task of that
-   anchor; equal contexts of one slice are sent once. An anchor with more than ``HOT``
-   occurrences is dealt by the hash of each single window instead, so no task gets an
-   unbounded group.
-3. Index. Over the distinct contexts of a few anchors a Burrows-Wheeler transform is
-   built and kept as runs, with text positions sampled at the run ends; contexts are
-   streamed backwards through it by LF steps over the runs, which gives each window its
-   interval of rows, and so whether it matches ``LENGTH`` bytes of an earlier text.
+2. Contexts. The windows of one anchor are one run of bytes, its context. Contexts meet
+   by anchor and 64-bit hash; all but the first of equal ones are repeats. Equal contexts
+   of one slice are sent once. An anchor with more than ``HOT`` occurrences is dealt by
+   the hashes of each single window instead, so no task gets an unbounded group.
+3. Index. Different contexts of one anchor may still share windows. Over the bytes of
+   those that share a block with another, a Burrows-Wheeler transform is built and kept
+   as runs, with text positions sampled at the run ends; contexts are streamed backwards
+   through it by LF steps over the runs, which gives each window its interval of rows,
+   and so whether it matches ``LENGTH`` bytes of an earlier text.
 4. Removed runs go back to their documents.
 
 Scale: rows that cross the network are two numbers per anchor (about one per 39 bytes),
-the texts once, and the contexts of repeated anchors; all steps are joins and
+the texts once, six numbers per repeated anchor, and the bytes of contexts that differ
+under one anchor; all steps are joins and
 pre-aggregated groupings on keys, and nothing goes through the driver.
 
 Defined cases: a null or empty text, and one shorter than ``LENGTH``, loses nothing;
@@ -43,7 +45,8 @@ LENGTH = 100
 SEED = 24
 HOT = 4096
 CONTEXTS = 6000  # indexed together, in whole anchors
-SEGMENT = 1 << 25
+BLOCKS = 4
+SEGMENT = 1 << 18  # windows hashed together, small enough for a processor cache
 _POSITION = 26  # low bits of an order key; a segment is shorter than 2 ** 26
 _LAST = 2**63 - 1
 _U = np.uint64
@@ -64,7 +67,7 @@ def _seed_hashes(data: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, places: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """For every anchor: its hash, text number, first window start and count of windows."""
+    """For every anchor: its hash, text number, first window start, count of windows, place."""
     found = []
     for base in range(0, max(len(data) - length + 1, 0), SEGMENT):
         part = data[base : base + SEGMENT + length - 1]
@@ -86,57 +89,74 @@ def anchors(data: np.ndarray, places: np.ndarray, length: int = LENGTH) -> tuple
         first = np.flatnonzero(new & valid)
         edge = np.flatnonzero(new | ~valid)
         nxt = np.append(edge, len(at))[np.searchsorted(edge, first, "right")]
-        found.append((hashes[at[first]], doc[first], starts[first], nxt - first))
+        found.append((hashes[at[first]], doc[first], starts[first], nxt - first, at[first] + base))
     if not found:
-        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(4))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
-        hashes, doc, _, _ = anchors(*texts_of(batch.column("text")))
+        hashes, doc, _, _, _ = anchors(*texts_of(batch.column("text")))
         ids = batch.column("id").to_numpy()
         yield pa.RecordBatch.from_arrays([pa.array(signed(hashes)), pa.array(ids[doc])], names=["a", "id"])
 
 
-_CONTEXT = "key bigint, c bigint, id bigint, s bigint, n int, done boolean, context binary"
+_CONTEXT = "key bigint, c bigint, id bigint, s bigint, n int, p int"
 
 
 def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts of the repeated anchors (columns ``cold`` and ``hot``) of each text."""
+    """Contexts of the repeated anchors (columns ``cold`` and ``hot``) of each text.
+
+    ``n`` windows from ``s`` on, the anchor ``p`` bytes further. Of equal contexts in a
+    slice the first is sent; the others are removed runs already, joined where they
+    touch, and marked by a negative ``p`` (``n`` is then their length).
+    """
     for batch in slices(batches, "text"):
         data, places = texts_of(batch.column("text"))
-        hashes, doc, start, count = anchors(data, places)
+        hashes, doc, start, count, at = anchors(data, places)
         ids = batch.column("id").to_numpy()
         cold, hot = (_member(batch.column(c), doc, hashes) for c in ("cold", "hot"))
         sums = prefix_hash(data)
         # Every window of a hot anchor is a context of its own, known by two hashes.
         spread = np.repeat(np.flatnonzero(hot), count[hot])
-        inner = np.arange(len(spread)) - np.repeat(np.cumsum(count[hot]) - count[hot], count[hot])
-        lone = start[spread] + inner
+        lone = start[spread] + np.arange(len(spread)) - np.repeat(np.cumsum(count[hot]) - count[hot], count[hot])
         lone_hash = span_hash(sums, lone, lone + LENGTH)
-        past = start[cold] + count[cold] - 1 + LENGTH
         key = np.concatenate([hashes[cold], mix(lone_hash + _U(1))])
-        c = np.concatenate([span_hash(sums, start[cold], past), lone_hash])
+        c = np.concatenate([span_hash(sums, start[cold], start[cold] + count[cold] - 1 + LENGTH), lone_hash])
         s = np.concatenate([start[cold], lone])
         n = np.concatenate([count[cold], np.ones(len(lone), np.int64)])
-        end = np.concatenate([past, lone])  # a window of a hot anchor carries no bytes
+        p = np.concatenate([(at - start)[cold], np.zeros(len(lone), np.int64)])
         d = np.concatenate([doc[cold], doc[spread]])
         owner, local = ids[d], s - places[d]
         first, _ = _firsts(key, c, owner, local)
         done = ~((owner == owner[first]) & (local == local[first]))
-        key = np.where(done, mix(owner.astype(np.uint64) * _U(0x9E3779B97F4A7C15) + local.astype(np.uint64)), key)
-        size = np.where(done, 0, end - s)
-        at = np.concatenate([[0], np.cumsum(size)])
-        take = np.repeat(s - at[:-1], size) + np.arange(at[-1])
-        blob = pa.Array.from_buffers(
-            pa.binary(), len(s), [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(data[take].tobytes())]
-        )
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(signed(key)), pa.array(signed(c)), pa.array(owner), pa.array(local), pa.array(n.astype(np.int32)),
-             pa.array(done), blob],
-            names=["key", "c", "id", "s", "n", "done", "context"],
-        )
+        whole, lo, hi = _joined(d[done], local[done], local[done] + n[done] - 1 + LENGTH)
+        away = mix(ids[whole].astype(np.uint64) * _U(0x9E3779B97F4A7C15) + lo.astype(np.uint64))
+        keep = ~done
+        columns = [
+            np.concatenate([signed(key[keep]), signed(away)]), np.concatenate([signed(c[keep]), signed(away)]),
+            np.concatenate([owner[keep], ids[whole]]), np.concatenate([local[keep], lo]),
+            np.concatenate([n[keep], hi - lo]).astype(np.int32),
+            np.concatenate([p[keep], np.full(len(lo), -1)]).astype(np.int32),
+        ]
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "c", "id", "s", "n", "p"])
+
+
+def _joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of each text with those that touch or overlap made one."""
+    order = np.lexsort((lo, doc))
+    doc, lo, hi = doc[order], lo[order], hi[order]
+    if not len(doc):
+        return doc, lo, hi
+    # Ends grow within a text once shifted by the text's number.
+    shift = doc.astype(np.int64) * (int(hi.max()) + 1)
+    reach = np.maximum.accumulate(hi + shift)
+    new = np.append(True, (lo + shift)[1:] > reach[:-1])
+    new[1:] |= doc[1:] != doc[:-1]
+    lead = np.flatnonzero(new)
+    last = np.append(lead[1:], len(doc)) - 1
+    return doc[lead], lo[lead], reach[last] - shift[last]
 
 
 def _member(lists: pa.Array, doc: np.ndarray, hashes: np.ndarray) -> np.ndarray:
@@ -263,10 +283,11 @@ def repeated_windows(contexts: list[bytes], ids: np.ndarray, starts: np.ndarray,
 
 
 _SPAN = "id bigint, lo bigint, hi bigint"
+_FOUND = _SPAN + ", key bigint, n int, p int"
 
 
-def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Removed runs from contexts sorted by key, id and start."""
+def _sorted_groups(batches: Iterator[pa.RecordBatch], reduce) -> Iterator[pa.Table]:
+    """Rows sorted by key in tables of whole groups; ``reduce`` shrinks a group still open."""
     held: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
@@ -274,52 +295,125 @@ def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = table.column("key").to_numpy()
         split = int(np.searchsorted(keys, keys[-1], "left")) if len(keys) else 0
         if split:
-            yield from _matched(table.slice(0, split))
-        spans, held = _collapse(table.slice(split))
-        yield spans
+            yield table.slice(0, split)
+        held = yield from reduce(table.slice(split))
     if held is not None and held.num_rows:
-        yield from _matched(held)
+        yield held
 
 
-def _columns(table: pa.Table) -> tuple[np.ndarray, ...]:
-    get = lambda c: table.column(c).to_numpy()
-    return get("key").astype(np.int64).view(np.uint64), get("c").view(np.uint64), get("id"), get("s"), get("n"), get("done")
+def _match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From contexts sorted by key, id and start: removed runs (null key), and the first of
+    each of several different contexts of one anchor, whose bytes the index must compare."""
+
+    def rows(ids, lo, hi, key=None, n=None, p=None) -> pa.RecordBatch:
+        none = pa.nulls(len(ids), pa.int64()), pa.nulls(len(ids), pa.int32()), pa.nulls(len(ids), pa.int32())
+        more = none if key is None else (pa.array(key), pa.array(n), pa.array(p))
+        return pa.RecordBatch.from_arrays(
+            [*(pa.array(x, pa.int64()) for x in (ids, lo, hi)), *more], names=["id", "lo", "hi", "key", "n", "p"]
+        )
+
+    def collapse(table: pa.Table) -> tuple[pa.RecordBatch, pa.Table]:
+        key, c, ids, starts, n, p = (table.column(x).to_numpy() for x in ("key", "c", "id", "s", "n", "p"))
+        first, _ = _firsts(key, c, ids, starts)
+        ready = p < 0
+        out = ready | ~((ids == ids[first]) & (starts == starts[first]))
+        end = starts + np.where(ready, n, n - 1 + LENGTH)
+        return rows(ids[out], starts[out], end[out]), table.filter(pa.array(~out))
+
+    spans: list[pa.RecordBatch] = []
+
+    def shrink(table: pa.Table):
+        gone, rest = collapse(table)
+        spans.append(gone)
+        return rest
+        yield
+
+    for table in _sorted_groups(batches, shrink):
+        gone, rest = collapse(table)
+        spans.append(gone)
+        key, ids, starts, n, p = (rest.column(x).to_numpy() for x in ("key", "id", "s", "n", "p"))
+        _, group, members = np.unique(key, return_inverse=True, return_counts=True)
+        several = members[group] > 1
+        spans.append(rows(*(x[several] for x in (ids, starts, starts, key, n, p))))
+        yield from spans
+        spans.clear()
+    yield from spans
+
+
+def _bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bytes of the wanted contexts of each text."""
+    for whole in batches:
+        for batch in slices(iter([whole]), "text"):
+            data, places = texts_of(batch.column("text"))
+            wanted = batch.column("wanted")
+            row = np.repeat(np.arange(batch.num_rows), wanted.value_lengths().to_numpy(zero_copy_only=False))
+            key, s, n, p = (wanted.flatten().field(x).to_numpy() for x in ("key", "lo", "n", "p"))
+            ids = batch.column("id").to_numpy()[row]
+            fits = places[row] + s + n - 1 + LENGTH <= places[row + 1]
+            row, key, s, n, p, ids = (x[fits] for x in (row, key, s, n, p, ids))
+            size = n.astype(np.int64) - 1 + LENGTH
+            at = np.concatenate([[0], np.cumsum(size)])
+            take = np.repeat(places[row] + s - at[:-1], size) + np.arange(at[-1])
+            blob = pa.Array.from_buffers(
+                pa.binary(), len(s), [None, pa.py_buffer(at.astype(np.int32).tobytes()), pa.py_buffer(data[take].tobytes())]
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key), pa.array(ids), pa.array(s), pa.array(p), blob], names=["key", "id", "s", "p", "context"]
+            )
+
+
+def _with_partner(table: pa.Table) -> np.ndarray:
+    """Contexts that share with another one of their anchor a block in which a window of
+    both could lie: a window that starts l bytes before the anchor holds, for its part of
+    the range of l, the same block around it. A context without a partner has no match."""
+    key, p = table.column("key").to_numpy(), table.column("p").to_numpy()
+    contexts = table.column("context").combine_chunks()
+    places = np.frombuffer(contexts.buffers()[1], np.int32)[contexts.offset : contexts.offset + len(contexts) + 1].astype(np.int64)
+    data = np.frombuffer(contexts.buffers()[2], np.uint8) if contexts.buffers()[2] is not None else np.zeros(0, np.uint8)
+    data, places = data[places[0] : places[-1]], places - places[0]
+    sums = prefix_hash(data)
+    out = np.zeros(len(key), bool)
+    edges = np.linspace(0, LENGTH - SEED, BLOCKS + 1).astype(int)
+    for near, far in zip(edges[:-1], edges[1:], strict=True):
+        lo, hi = places[:-1] + p - near, places[:-1] + p + LENGTH - far
+        inside = np.flatnonzero((lo >= places[:-1]) & (hi <= places[1:]))
+        block = mix(span_hash(sums, lo[inside], hi[inside]) ^ mix(key[inside].view(np.uint64)))
+        _, which, times = np.unique(block, return_inverse=True, return_counts=True)
+        out[inside[times[which] > 1]] = True
+    return out
+
+
+def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Removed runs from the bytes of contexts sorted by key, id and start."""
+
+    def as_it_is(table: pa.Table):
+        return table
+        yield
+
+    waiting: list[pa.Table] = []
+
+    def work() -> pa.RecordBatch:
+        table = pa.concat_tables(waiting).combine_chunks()
+        waiting.clear()
+        ids, starts = table.column("id").to_numpy(), table.column("s").to_numpy()
+        hits = repeated_windows(table.column("context").to_pylist(), ids, starts)
+        return _merged_hits(hits, ids, starts)
+
+    for table in _sorted_groups(batches, as_it_is):
+        waiting.append(table.filter(pa.array(_with_partner(table))))
+        if sum(t.num_rows for t in waiting) >= CONTEXTS:
+            yield work()
+    if sum(t.num_rows for t in waiting):
+        yield work()
 
 
 def _span_batch(ids, lo, hi) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (ids, lo, hi)], names=["id", "lo", "hi"])
 
 
-def _collapse(table: pa.Table) -> tuple[pa.RecordBatch, pa.Table]:
-    """Runs of the contexts that repeat an earlier one of the table, and the rest."""
-    key, c, ids, starts, n, done = _columns(table)
-    first, _ = _firsts(key, c, ids, starts)
-    lead = (ids == ids[first]) & (starts == starts[first])
-    out = done | ~lead
-    return _span_batch(ids[out], starts[out], starts[out] + n[out] - 1 + LENGTH), table.filter(pa.array(~out))
-
-
-def _matched(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    spans, table = _collapse(table)
-    yield spans
-    key, _, ids, starts, _, _ = _columns(table)
-    contexts = table.column("context").combine_chunks()
-    sizes = pc.binary_length(contexts).to_numpy(zero_copy_only=False)
-    # Anchors with several different contexts; a lone window of a hot anchor has no bytes.
-    _, group, members = np.unique(key, return_inverse=True, return_counts=True)
-    rows = np.flatnonzero((members[group] > 1) & (sizes >= LENGTH))
-    at = 0
-    while at < len(rows):
-        past = min(at + CONTEXTS, len(rows))
-        while past < len(rows) and key[rows[past]] == key[rows[past - 1]]:
-            past += 1
-        part = rows[at:past]
-        hits = repeated_windows([contexts[int(i)].as_py() for i in part], ids[part], starts[part])
-        yield _merged_hits(hits, ids[part], starts[part])
-        at = past
-
-
 def _merged_hits(hits: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    if not len(hits):
+        return _span_batch(ids[:0], ids[:0], ids[:0])
     order = np.lexsort((hits[:, 1], hits[:, 0]))
     context, offset = hits[order, 0], hits[order, 1]
     new = np.ones(len(order), bool)
@@ -372,7 +466,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
     ``kept`` (remaining bytes) and ``clean`` (the text without those characters that lie
     wholly in a removed run, so it is valid wherever a run starts or ends)."""
     keep = keep or docs.columns
-    # Both joins below read the same three columns, so the texts are shuffled once.
+    # The joins below read the same three columns, so the texts are shuffled once.
     texts = docs.select(
         F.coalesce(F.col(id).cast("bigint"), F.lit(_LAST)).alias("id"),
         F.col(text).cast("string").alias("text"),
@@ -385,7 +479,13 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
         F.collect_set(F.when(F.col("k") > HOT, F.col("a"))).alias("hot"),
     )
     contexts = texts.join(lists, "id").select("id", "text", "rest", "cold", "hot").mapInArrow(_context_rows, _CONTEXT)
-    spans = contexts.repartition("key").sortWithinPartitions("key", "id", "s").mapInArrow(_match, _SPAN)
+    found = contexts.repartition("key").sortWithinPartitions("key", "id", "s").mapInArrow(_match, _FOUND)
+    wanted = found.where("key IS NOT NULL").groupBy("id").agg(F.collect_list(F.struct("key", "lo", "n", "p")).alias("wanted"))
+    pieces = texts.join(wanted, "id").select("id", "text", "rest", "wanted").mapInArrow(
+        _bytes, "key bigint, id bigint, s bigint, p int, context binary"
+    )
+    indexed = pieces.repartition("key").sortWithinPartitions("key", "id", "s").mapInArrow(_index, _SPAN)
+    spans = found.where("key IS NULL").select("id", "lo", "hi").union(indexed)
     per_text = spans.groupBy("id").agg(F.collect_list(F.struct("lo", "hi")).alias("found"))
     joined = texts.join(per_text, "id", "left").select("text", "rest", "found")
     rest = joined.schema["rest"].dataType.simpleString()
