@@ -24,9 +24,9 @@ under one anchor; all steps are joins and
 pre-aggregated groupings on keys, and nothing goes through the driver.
 
 Defined cases: a null or empty text, and one shorter than ``LENGTH``, loses nothing;
-rows with equal ids count as one document, and a row is never removed for its own
-twin; a null id comes after all others; an empty table gives an empty result; other
-columns are not read.
+rows with equal ids are one document: a row is never removed for its own twin, and what
+goes from one goes from all; rows without an id come after all others, ordered by a hash
+of their text; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ CONTEXTS = 6000  # indexed together, in whole anchors
 BLOCKS = 4
 SEGMENT = 1 << 18  # windows hashed together, small enough for a processor cache
 _POSITION = 26  # low bits of an order key; a segment is shorter than 2 ** 26
-_LAST = 2**63 - 1
+_NO_ID = 2**62  # rows without an id come after those with one, by a hash of their text
 _U = np.uint64
 
 
@@ -445,7 +445,9 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, found in enumerate(batch.column("found").to_pylist()):
             text = data[places[i] : places[i + 1]]
             runs: list[list[int]] = []
-            for lo, hi in sorted((r["lo"], r["hi"]) for r in found or ()):
+            for lo, hi in sorted((r["lo"], min(r["hi"], len(text))) for r in found or ()):
+                if lo >= hi:
+                    continue
                 if runs and lo <= runs[-1][1]:
                     runs[-1][1] = max(runs[-1][1], hi)
                 else:
@@ -468,7 +470,7 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
     keep = keep or docs.columns
     # The joins below read the same three columns, so the texts are shuffled once.
     texts = docs.select(
-        F.coalesce(F.col(id).cast("bigint"), F.lit(_LAST)).alias("id"),
+        F.coalesce(F.col(id).cast("bigint"), F.lit(_NO_ID) + F.shiftrightunsigned(F.xxhash64(text), 2)).alias("id"),
         F.col(text).cast("string").alias("text"),
         F.struct(F.lit(0).alias("_"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep) if c != text]).alias("rest"),
     )
