@@ -195,7 +195,7 @@ def _sample(rows: DataFrame, size: int) -> np.ndarray:
     """At most ``size`` feature rows, those of least id hash."""
     table = rows.select("x", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(size).select("x").toArrow()
     values = table.column("x").combine_chunks().flatten().to_numpy()
-    return values.reshape(table.num_rows, -1).astype(float)
+    return values.reshape(table.num_rows, len(values) // max(table.num_rows, 1)).astype(float)
 
 
 def classify(
