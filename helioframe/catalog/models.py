@@ -146,7 +146,7 @@ def _stage_inputs(spark: SparkSession, sf_dir: str) -> tuple[Prepared, FittedMod
 def m1_positive_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, model, train, val = _stage_inputs(spark, sf_dir)
     label = (F.col("nins") > 0).cast("double").alias(LABEL)
-    fitted, _ = fit_positive_classifier(
+    fitted, _, _ = fit_positive_classifier(
         train.select("_x", label), val.select("_x", label), SHORT.boosting(), SEED, 64
     )
     model.parts["classifier"] = fitted
@@ -160,7 +160,7 @@ def m2_size_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     large, large_val = positives(train, "nins"), positives(val, "nins")
     scale = size_scale(large, "nins", boost.loss)
     size = (F.col("nins") / scale).alias(LABEL)
-    fitted, _ = fit_size_regressor(
+    fitted, _, _ = fit_size_regressor(
         large.select("_x", size), large_val.select("_x", size), boost, SEED, 64
     )
     model.info["size_scale"] = scale
@@ -181,7 +181,7 @@ def m4_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = (F.col("nins") > 0).cast("double").alias(LABEL)
     held = val.select("_x", label)
     boost = replace(SHORT.boosting(), patience=0)
-    fitted, _ = fit_positive_classifier(train.select("_x", label), None, boost, SEED, 64)
+    fitted, _, _ = fit_positive_classifier(train.select("_x", label), None, boost, SEED, 64)
     losses = fitted.stages[0].evaluateEachIteration(held)
     keep, _ = patience_cut(losses, SHORT.boost_patience)
     rows = [(i + 1, round(loss, 6), i + 1 == keep) for i, loss in enumerate(losses)]

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Text format of observation times: an offset with or without a colon.
+# Text formats of observation times, an offset with or without a colon.
+# Texts in neither are read as ISO times: with T or a space, fractional seconds, and in the
+# session's zone when they have no offset.
 TIME_FORMATS = ("yyyy-MM-dd HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ssXX")
 
 CALENDAR_PARTS = ("hour", "minute", "day", "month", "weekday", "day_of_year")
@@ -24,7 +26,7 @@ CYCLIC_PARTS = (
 
 def parse_time(text: Column, formats: tuple[str, ...] = TIME_FORMATS, strict: bool = True) -> Column:
     """Timestamp from text; unparsable text is an error (strict) or null."""
-    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
+    parsed = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats], F.try_to_timestamp(text))
     if not strict:
         return parsed
     bad = text.isNotNull() & parsed.isNull()

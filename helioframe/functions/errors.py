@@ -77,7 +77,8 @@ def bce_with_logits(target: Column, logit: Column) -> Column:
 
 def log_loss(label: Column, probability: Column, eps: float = LOG_LOSS_EPS) -> Column:
     p = F.greatest(F.lit(eps), F.least(F.lit(1.0 - eps), probability))
-    return -F.avg(label * F.ln(p) + (F.lit(1.0) - label) * F.ln(F.lit(1.0) - p))
+    loss = label * F.ln(p) + (F.lit(1.0) - label) * F.ln(F.lit(1.0) - p)
+    return -F.avg(_paired(label, probability, loss))
 
 
 def two_head_terms(

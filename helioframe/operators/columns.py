@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helioframe.operators.ranges import range_positions
+from helioframe.operators.submit import one_per_key
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:
@@ -56,8 +57,12 @@ def assemble(
 
 
 def attach_by_key(df: DataFrame, values: DataFrame, keys: list[str], value: Column) -> DataFrame:
-    """Attach a computed column from another frame by key, never by position."""
-    return df.join(values.select(*keys, value), keys, "left")
+    """Attach a computed column from another frame by key, never by position.
+
+    A repeated key in ``values`` would multiply rows and is an error.
+    """
+    added = values.select(*keys, value)
+    return df.join(one_per_key(added, keys, added.columns[-1]), keys, "left")
 
 
 def row_index(df: DataFrame, order: list[str], name: str = "row_idx") -> DataFrame:

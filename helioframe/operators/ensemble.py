@@ -34,18 +34,22 @@ def ensemble_aligned(
     """Sum over all models divided by their number, for keys that every model has.
 
     Null as soon as one model is null. One grouping aligns any number of models,
-    where joining them one by one would shuffle once per model.
+    where joining them one by one would shuffle once per model. A key that one model
+    predicts twice is an error when the result is computed.
     """
     is_model = [F.col(model) == m for m in models]
-    one_each = F.lit(True)
-    for m in is_model:
-        one_each = one_each & (F.count_if(m) == 1)
+    counts = [F.count_if(m) for m in is_model]
     value = reduce(Column.__add__, [F.max(F.when(m, F.col(p))) for m in is_model])
+    problem = F.raise_error(F.lit(f"more than one prediction of a model for some key {keys}"))
     return (
         long.groupBy(*keys)
-        .agg((value / F.lit(len(models))).alias(name), one_each.alias("_all"))
-        .filter("_all")
-        .drop("_all")
+        .agg(
+            (value / F.lit(len(models))).alias("_mean"),
+            F.least(*counts, F.lit(1)).alias("_fewest"), F.greatest(*counts, F.lit(1)).alias("_most"),
+        )
+        .withColumn(name, F.when(F.col("_most") > 1, problem).otherwise(F.col("_mean")))
+        .filter("_fewest > 0")
+        .select(*keys, name)
     )
 
 

@@ -59,7 +59,7 @@ def fill_missing(
     order: list[str],
     cols: list[str],
     *,
-    staged: bool = False,
+    staged: bool = True,
     means_of: Column | None = None,
     max_group_rows: int | None = MAX_GROUP_ROWS,
     piece_rows: int = PIECE_ROWS,
@@ -67,7 +67,7 @@ def fill_missing(
     """Forward fill, backward fill, column mean, and 0 for a column without values.
 
     Means are taken after the directional fills, over all rows or over those
-    where ``means_of`` holds. ``staged`` writes the directional result once, so
+    where ``means_of`` holds. The directional result is written once (``staged``), so
     the means and every later reader start from the written table instead of
     repeating the window.
     """

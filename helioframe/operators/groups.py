@@ -39,5 +39,5 @@ def align_levels(df: DataFrame, column: str, levels: DataFrame, name: str | None
 
 
 def missing_groups(wanted: DataFrame, present: DataFrame, key: str) -> DataFrame:
-    """Ids of ``wanted`` that do not occur in ``present``."""
-    return distinct_ids(wanted, key).join(distinct_ids(present, key), key, "left_anti")
+    """Ids of ``wanted`` that do not occur in ``present``; a null is no id."""
+    return distinct_ids(wanted.filter(F.col(key).isNotNull()), key).join(distinct_ids(present, key), key, "left_anti")

@@ -80,5 +80,10 @@ def two_head_loss(
 
 
 def leaderboard(scores: DataFrame, metric: str = "mae", name: str = "place") -> DataFrame:
-    """Rank entries by ascending error; equal errors share a place."""
-    return global_rank(scores, metric, name)
+    """Rank entries by ascending error; equal errors share a place.
+
+    Entries without an error, or with NaN, have no place.
+    """
+    valid = F.col(metric).isNotNull() & ~F.isnan(F.col(metric).cast("double"))
+    ranked = global_rank(scores.filter(valid), metric, name)
+    return ranked.unionByName(scores.filter(~valid).withColumn(name, F.lit(None).cast(ranked.schema[name].dataType)))

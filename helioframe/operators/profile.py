@@ -203,26 +203,33 @@ def describe(
     return basic.join(wide, "column_name", "left")
 
 
+def _finite(c: str) -> Column:
+    value = _number(c)
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def histogram(df: DataFrame, cols: list[str], bins: int = 20) -> DataFrame:
     """Equal-width counts per column, including empty bins.
 
     (column_name, bin, lower, upper, n). The last bin includes the maximum; a
-    constant column gets a unit-wide range around its value.
+    constant column gets a unit-wide range around its value. Infinite values have no
+    bin and do not stretch the range.
     """
     ends = df.agg(
-        *[f(_number(c)).alias(f"{c}{s}") for c in cols for f, s in ((F.min, "__lo"), (F.max, "__hi"))]
+        *[f(_finite(c)).alias(f"{c}{s}") for c in cols for f, s in ((F.min, "__lo"), (F.max, "__hi"))]
     )
     flat = F.col("raw_lo") == F.col("raw_hi")
-    edges = (
+    edges = stage(
         _long(ends, cols, {"raw_lo": "__lo", "raw_hi": "__hi"})
         .filter(F.col("raw_lo").isNotNull())
         .select(
             "column_name",
             F.when(flat, F.col("raw_lo") - 0.5).otherwise(F.col("raw_lo")).alias("lo"),
             F.when(flat, F.col("raw_hi") + 0.5).otherwise(F.col("raw_hi")).alias("hi"),
-        )
+        ),
+        "edges",  # one row per column, used by the count and by the grid
     )
-    values = F.array(*[F.struct(F.lit(c).alias("column_name"), _number(c).alias("v")) for c in cols])
+    values = F.array(*[F.struct(F.lit(c).alias("column_name"), _finite(c).alias("v")) for c in cols])
     width = (F.col("hi") - F.col("lo")) / F.lit(bins)
     counted = (
         df.select(F.explode(values).alias("_e"))

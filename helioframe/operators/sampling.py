@@ -17,11 +17,12 @@ _DIGITS = 3
 _BUCKETS = 16**_DIGITS
 
 
-def key_hash(seed: int, *keys: str) -> Column:
-    """MD5 of seed and keys; null when any key is null."""
+def key_hash(seed: int, *keys: str, nulls: bool = False) -> Column:
+    """MD5 of seed and keys; null when any key is null, unless ``nulls`` are values too."""
     parts = [F.lit(str(seed))]
     for key in keys:
-        parts += [F.lit("|"), F.col(key).cast("string")]
+        part = F.concat(F.lit("|"), F.col(key).cast("string"))
+        parts.append(F.coalesce(part, F.lit("!")) if nulls else part)
     return F.md5(F.concat(*parts))
 
 
@@ -111,10 +112,11 @@ def label_rows(
 ) -> DataFrame:
     """Mark int(n * ratio) rows ``train`` and the rest ``valid`` in hash order.
 
-    ``keys`` must identify a row. ``exact=False`` compares with a fixed threshold
+    ``keys`` should identify a row; rows with equal keys go to one side together. A
+    null key is a value like any other. ``exact=False`` compares with a fixed threshold
     instead and reads the data once; the share is then only expected.
     """
-    own = key_hash(seed, *keys)
+    own = key_hash(seed, *keys, nulls=True)
     if exact:
         inside = _first(df.select(own.alias("_h")), own, lambda n: int(n * ratio))
     else:
@@ -125,10 +127,13 @@ def label_rows(
 def subsample(
     df: DataFrame, keys: list[str], fraction: float, seed: int, exact: bool = True
 ) -> DataFrame:
-    """max(1, int(n * fraction)) rows without replacement; all rows unless 0 < fraction < 1."""
+    """max(1, int(n * fraction)) rows without replacement; all rows unless 0 < fraction < 1.
+
+    Keys as in ``label_rows``.
+    """
     if not 0.0 < fraction < 1.0:
         return df
-    own = key_hash(seed, *keys)
+    own = key_hash(seed, *keys, nulls=True)
     if not exact:
         return df.filter(F.substring(own, 1, 8) < F.lit(f"{int(fraction * 2**32):08x}"))
     hashes = df.select(own.alias("_h"))

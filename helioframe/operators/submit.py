@@ -10,10 +10,16 @@ from helioframe.functions.scalars import default_prediction
 KEYS = ["time", "pv_id", "type"]
 
 
-def require_unique(df: DataFrame, keys: list[str]) -> None:
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    if not repeated.isEmpty():
-        raise ValueError(f"more than one row for some key {keys}")
+def one_per_key(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """``keys`` and ``value``; a repeated key is an error when the result is computed.
+
+    Rows with a null key can match nothing and are left out. The check is part of the
+    grouping, which shares its shuffle with a later join on the keys.
+    """
+    known = df.select(*keys, value).dropna(subset=keys)
+    grouped = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(value).alias("_v"))
+    problem = F.raise_error(F.lit(f"more than one row for some key {keys}"))
+    return grouped.select(*keys, F.when(F.col("_n") > 1, problem).otherwise(F.col("_v")).alias(value))
 
 
 def fill_template(
@@ -29,7 +35,6 @@ def fill_template(
     Repeated prediction keys would multiply template rows and are an error. The
     join is a plain shuffle join, which adaptive execution splits on skewed keys.
     """
-    if check_unique:
-        require_unique(preds, keys)
-    joined = template.select(*keys).join(preds.select(*keys, p), keys, "left")
+    known = one_per_key(preds, keys, p) if check_unique else preds.select(*keys, p)
+    joined = template.select(*keys).join(known, keys, "left")
     return joined.withColumn(p, default_prediction(F.col(p), default))

@@ -23,6 +23,7 @@ class BoostParams:
     loss: str = "absolute"
 
 
+# The defaults below are fixed values: the documented settings of a run.
 @dataclass(frozen=True)
 class RunParams:
     # columns
@@ -39,16 +40,15 @@ class RunParams:
     fill_before_filter: bool = False
     means_from_train: bool = False
     time_zone: str | None = None
+    # Codes for the group index as a category, whatever the number of groups: groups
+    # share a code when their indexes are equal modulo this width.
+    group_codes: int = 254
     # two-head loss
     positive_threshold: float = 0.0
-    bce_weight: float = 1.0
-    regression_weight: float = 1.0
     label_smoothing: float = 0.0
     # training runs
     max_epochs: int = 50
-    patience: int = 10
     weight_decay: float = 1e-4
-    max_checkpoints: int = 3
     # plain tree knobs (hist_gbdt)
     tree_rounds: int = 800
     tree_step_size: float = 0.05

@@ -23,9 +23,6 @@ from helioframe.session import stage
 
 LABEL = "_label"
 
-# More levels than this are treated as a number: tree bins grow with levels.
-MAX_LEVELS = 1_000
-
 
 def _shared(params: BoostParams, rounds: int, seed: int, bins: int) -> dict:
     fraction = params.feature_fraction
@@ -65,22 +62,24 @@ def fit_with_patience(
     A boosted model's first rounds do not depend on later ones, so the number of
     rounds is doubled until patience runs out, and the model is refitted once to
     the best round. At most a small multiple of the needed rounds is fitted.
+    Returns the model, its rounds, and the held-out loss of every round tried.
     """
     if losses_of is None or patience <= 0:
-        return fit(rounds), rounds
+        return fit(rounds), rounds, []
     size = min(rounds, 2 * patience)
     while True:
         model = fit(size)
-        keep, stopped = patience_cut(losses_of(model), patience)
+        losses = losses_of(model)
+        keep, stopped = patience_cut(losses, patience)
         if stopped or size == rounds:
             break
         size = min(rounds, 2 * size)
-    return (model if keep == size else fit(keep)), keep
+    return (model if keep == size else fit(keep)), keep, losses
 
 
 def fit_positive_classifier(
     train: DataFrame, val: DataFrame | None, params: BoostParams, seed: int, bins: int
-) -> tuple[PipelineModel, int]:
+) -> tuple[PipelineModel, int, list[float]]:
     """Stage 1: probability that the target is positive. Frames hold ``_x`` and ``_label``."""
 
     def fit(rounds: int):
@@ -88,8 +87,8 @@ def fit_positive_classifier(
         return learner.setRawPredictionCol(RAW).setProbabilityCol(PROB).fit(train)
 
     losses = None if val is None else lambda model: model.evaluateEachIteration(val)
-    model, kept = fit_with_patience(fit, losses, params.rounds, params.patience)
-    return PipelineModel([model]), kept
+    model, kept, history = fit_with_patience(fit, losses, params.rounds, params.patience)
+    return PipelineModel([model]), kept, history
 
 
 def size_scale(rows: DataFrame, y: str, loss: str) -> float | None:
@@ -106,7 +105,7 @@ def size_scale(rows: DataFrame, y: str, loss: str) -> float | None:
 
 def fit_size_regressor(
     train: DataFrame, val: DataFrame | None, params: BoostParams, seed: int, bins: int
-) -> tuple[PipelineModel, int]:
+) -> tuple[PipelineModel, int, list[float]]:
     """Stage 2: size of a positive target. Early stopping watches the absolute error."""
 
     def fit(rounds: int):
@@ -115,8 +114,8 @@ def fit_size_regressor(
         ).fit(train)
 
     losses = None if val is None else lambda model: model.evaluateEachIteration(val, "absolute")
-    model, kept = fit_with_patience(fit, losses, params.rounds, params.patience)
-    return PipelineModel([model]), kept
+    model, kept, history = fit_with_patience(fit, losses, params.rounds, params.patience)
+    return PipelineModel([model]), kept, history
 
 
 def category_levels(frames: list[DataFrame], column: str) -> DataFrame:
@@ -126,9 +125,7 @@ def category_levels(frames: list[DataFrame], column: str) -> DataFrame:
     return stage(coded.withColumn("code", F.col("code").cast("double")), "levels")
 
 
-def fit_hurdle(
-    prepared: Prepared, params: RunParams, use_group: bool = True, max_levels: int = MAX_LEVELS
-) -> FittedModel:
+def fit_hurdle(prepared: Prepared, params: RunParams, use_group: bool = True) -> FittedModel:
     """Two-stage model: is the target positive, and how large is it then.
 
     Without positives there is no second stage and every prediction is 0.
@@ -138,14 +135,10 @@ def fit_hurdle(
     rows = prepared.train
     if params.model == "lightgbm":
         rows = subsample(rows, prepared.keys, params.boost_sample_fraction, params.seed)
-    nominal = levels = None
-    bins = boost.max_bins
-    if GROUP_INDEX in features:
-        known = category_levels([prepared.train, prepared.val, prepared.test], GROUP_INDEX)
-        n = known.count()
-        if n <= max_levels:
-            nominal, levels, bins = GROUP_INDEX, known, max(bins, n + 1)
-    model = FittedModel(params.model, features, {}, params.positive_threshold, nominal, levels)
+    nominal = GROUP_INDEX if GROUP_INDEX in features else None
+    codes = params.group_codes if nominal else 0
+    bins = max(boost.max_bins, codes + 1)
+    model = FittedModel(params.model, features, {}, params.positive_threshold, nominal, codes)
 
     # Features and target once, on disk: both stages and every round start here.
     y, t = params.target, params.positive_threshold
@@ -153,12 +146,12 @@ def fit_hurdle(
     val = stage(model.encode(prepared.val).select("_x", y), "fit-val")
     label = positive_label(F.col(y), t)
     held = None if val.isEmpty() else val
-    model.parts["classifier"], kept = fit_positive_classifier(
+    model.parts["classifier"], kept, history = fit_positive_classifier(
         train.select("_x", label.alias(LABEL)),
         None if held is None else held.select("_x", label.alias(LABEL)),
         boost, params.seed, bins,
     )
-    model.info["classifier_rounds"] = kept
+    model.info |= {"classifier_rounds": kept, "classifier_losses": history}
     scale = size_scale(positives(train, y, t), y, boost.loss)
     if scale is not None:
         model.info["size_scale"] = scale
@@ -168,10 +161,10 @@ def fit_hurdle(
         if held is not None:
             held_large = positives(held, y, t).select("_x", size)
             held_large = None if held_large.isEmpty() else held_large
-        model.parts["regressor"], kept = fit_size_regressor(
+        model.parts["regressor"], kept, history = fit_size_regressor(
             large, held_large, boost, params.seed, bins
         )
-        model.info["regressor_rounds"] = kept
+        model.info |= {"regressor_rounds": kept, "regressor_losses": history}
     return model
 
 
@@ -195,7 +188,7 @@ def fit_plain_boosted(
         feature_fraction=1.0, max_bins=255, patience=0, loss="squared",
     )
     fit_rows = stage(model.encode(rows).select("_x", F.col(params.target).alias(LABEL)), "fit-train")
-    model.parts["regressor"], _ = fit_size_regressor(
+    model.parts["regressor"], _, _ = fit_size_regressor(
         fit_rows, None, boost, params.seed, boost.max_bins
     )
     return model

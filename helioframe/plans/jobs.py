@@ -17,8 +17,8 @@ from helioframe.plans.boosted import fit_hurdle
 from helioframe.plans.linear import fit_feedforward, fit_two_head
 from helioframe.plans.models import FittedModel, load_model
 from helioframe.plans.prepare import Prepared, prepare
-from helioframe.session import stage
-from helioframe.sources.tables import WEATHER_COLUMNS, read_trio, write_delivery
+from helioframe.session import scratch_run, stage
+from helioframe.sources.tables import SUBMISSION_SCHEMA, WEATHER_COLUMNS, read_panel, read_trio, write_delivery
 
 METRICS = ("mae", "rmse", "nmape")
 
@@ -114,13 +114,30 @@ def run(
     template_name: str = "submission_sample.csv",
     max_group_rows: int | None = MAX_GROUP_ROWS,
 ) -> RunResult:
-    """Read the three files, prepare, train or score, and write the delivery."""
+    """Read the three files, prepare, train or score, and write the delivery.
+
+    Staged tables are deleted at the end; the result reads the written delivery.
+    """
     params = params.checked()
-    raw = read_trio(spark, folder, columns, template_name)
-    prepared = prepare(raw.train, raw.test, raw.template, params, max_group_rows)
-    if params.inference_only:
-        result = score_saved_models(prepared, params)
-    else:
-        result = train_and_deliver(prepared, params, f"{out}/model")
-    write_delivery(result.submission, f"{out}/submission.csv")
+    with scratch_run(spark):
+        raw = read_trio(spark, folder, columns, template_name)
+        prepared = prepare(raw.train, raw.test, raw.template, params, max_group_rows)
+        if params.inference_only:
+            result = score_saved_models(prepared, params)
+        else:
+            result = train_and_deliver(prepared, params, f"{out}/model")
+        write_delivery(result.submission, f"{out}/submission.csv")
+        if result.per_model is not None:  # one row per model
+            result.per_model = spark.createDataFrame(result.per_model.collect(), result.per_model.schema)
+    result.submission = read_panel(spark, f"{out}/submission.csv", SUBMISSION_SCHEMA)
     return result
+
+
+def fit_history(model: FittedModel, spark: SparkSession) -> DataFrame:
+    """(run_id, epoch, mae) of a boosted model: held-out loss of every round that was tried.
+
+    ``run_id`` is the stage; the rows feed ``early_stop`` and ``best_runs``.
+    """
+    stages = [(name, model.info.get(f"{name}_losses") or []) for name in ("classifier", "regressor")]
+    rows = [(name, i, float(loss)) for name, losses in stages for i, loss in enumerate(losses)]
+    return spark.createDataFrame(rows, "run_id string, epoch int, mae double")

@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.functions.scalars import positive_label
+from helioframe.functions.scalars import positive_label, smooth_label
 from helioframe.operators.fill import bfill, column_means, fill_with
 from helioframe.operators.filters import positives
 from helioframe.operators.sampling import label_rows
@@ -35,6 +35,7 @@ def fit_feedforward(prepared: Prepared, params: RunParams) -> FittedModel:
 
 
 def _with_group(features: str) -> list:
+    # The group code carries its number of values, so the width never depends on the data.
     return [
         OneHotEncoder(inputCols=["_group"], outputCols=["_onehot"], handleInvalid="keep"),
         VectorAssembler(inputCols=[features, "_onehot"], outputCol=WITH_GROUP),
@@ -43,20 +44,28 @@ def _with_group(features: str) -> list:
 
 def fit_two_head(prepared: Prepared, params: RunParams) -> FittedModel:
     """Logistic head for the sign and robust linear head for the size of positives."""
-    groups = prepared.vocabulary.count()
     model = TwoHeadModel(
-        "two_head", list(prepared.features), {}, params.positive_threshold, info={"groups": groups}
+        "two_head", list(prepared.features), {}, params.positive_threshold, codes=params.group_codes
     )
     y = params.target
     label = positive_label(F.col(y), params.positive_threshold)
     rows = model.encode(prepared.train).select(X, "_group", y, label.alias("_label"))
     train = stage(rows, "fit-train")
+    classified, weight = train, {}
+    if params.label_smoothing > 0:
+        # The loss of a smoothed label is the mean of the losses of 1 and 0, weighted by it.
+        soft = smooth_label(F.col("_label"), params.label_smoothing)
+        sides = F.array(*[F.struct(F.lit(v).alias("l"), w.alias("w")) for v, w in ((1.0, soft), (0.0, 1.0 - soft))])
+        classified = train.select(X, "_group", F.explode(sides).alias("_side")).select(
+            X, "_group", F.col("_side.l").alias("_label"), F.col("_side.w").alias("_weight")
+        )
+        weight = {"weightCol": "_weight"}
     logistic = LogisticRegression(
         featuresCol=WITH_GROUP, labelCol="_label", rawPredictionCol=RAW, probabilityCol=PROB,
         predictionCol=CLASS, maxIter=params.max_epochs, regParam=params.weight_decay,
-        standardization=False,
+        standardization=False, **weight,
     )
-    model.parts["classifier"] = Pipeline(stages=[*_with_group(X), logistic]).fit(train)
+    model.parts["classifier"] = Pipeline(stages=[*_with_group(X), logistic]).fit(classified)
     large = positives(train, y, params.positive_threshold)
     if not large.isEmpty():
         huber = _huber(params, WITH_GROUP, y)

@@ -6,13 +6,12 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.functions.scalars import clamp_negative, hurdle_value
 from helioframe.operators.columns import assemble
 from helioframe.plans.prepare import GROUP_INDEX
-from helioframe.session import broadcast_if_small
 from helioframe.sources.artifacts import finite, load_description, save_description
 
 X, RAW, PROB, CLASS, SIZE = "_x", "_raw", "_prob", "_class", "_size"
@@ -25,7 +24,8 @@ class FittedModel:
 
     With a classifier the prediction is probability times clamped size (0 if no
     regressor could be fitted); with a regressor alone it is the clamped size.
-    ``levels`` lists the known values of a categorical feature with their codes.
+    ``nominal`` is a feature that is read as one of ``codes`` categories: its value
+    modulo ``codes``, or one extra category where it is missing.
     """
 
     kind: str
@@ -33,15 +33,15 @@ class FittedModel:
     parts: dict[str, PipelineModel]
     threshold: float = 0.0
     nominal: str | None = None
-    levels: DataFrame | None = None
+    codes: int = 0
     metrics: dict[str, float] = field(default_factory=dict)
     info: dict = field(default_factory=dict)
 
     def encode(self, df: DataFrame) -> DataFrame:
         """Feature vector beside the input columns."""
-        if self.nominal is None or self.levels is None:
+        if self.nominal is None:
             return assemble(df, self.features, X, "keep")
-        return assemble_with_levels(df, self.features, self.nominal, self.levels)
+        return assemble_with_code(df, self.features, self.nominal, self.codes)
 
     def heads(self, df: DataFrame) -> DataFrame:
         """Input columns plus ``probability``, ``logit`` and ``magnitude`` where they exist."""
@@ -76,8 +76,6 @@ class FittedModel:
             return None
         for name, part in self.parts.items():
             part.write().overwrite().save(f"{path}/{name}")
-        if self.levels is not None:
-            self.levels.write.mode("overwrite").parquet(f"{path}/levels")
         save_description(
             spark,
             path,
@@ -87,7 +85,7 @@ class FittedModel:
                 "parts": sorted(self.parts),
                 "threshold": self.threshold,
                 "nominal": self.nominal,
-                "has_levels": self.levels is not None,
+                "codes": self.codes,
                 "metrics": self.metrics,
                 "info": self.info,
                 "epoch": epoch,
@@ -100,9 +98,9 @@ class TwoHeadModel(FittedModel):
     """Hurdle model whose heads also see a one-hot group index."""
 
     def encode(self, df: DataFrame) -> DataFrame:
-        # The encoder keeps one extra slot for groups outside the training range.
-        group = F.coalesce(F.col(GROUP_INDEX).cast("double"), F.lit(float(self.info["groups"])))
-        return assemble(df, self.features, X, "keep").withColumn("_group", group)
+        return assemble(df, self.features, X, "keep").withColumn(
+            "_group", group_code(GROUP_INDEX, self.codes, "_group")
+        )
 
     def heads(self, df: DataFrame) -> DataFrame:
         out = self.encode(df)
@@ -131,27 +129,21 @@ def load_model(spark: SparkSession, path: str, need_classifier: bool = False) ->
         parts={name: PipelineModel.load(f"{path}/{name}") for name in d["parts"]},
         threshold=d["threshold"],
         nominal=d["nominal"],
-        levels=spark.read.parquet(f"{path}/levels") if d["has_levels"] else None,
+        codes=d["codes"],
         metrics=d["metrics"],
         info=d["info"],
     )
 
 
-def assemble_with_levels(
-    df: DataFrame, features: list[str], nominal: str, levels: DataFrame
-) -> DataFrame:
-    """Feature vector whose ``nominal`` entry is a category code.
+def group_code(nominal: str, codes: int, name: str) -> Column:
+    """The value modulo ``codes``; a missing one has the extra code after those."""
+    meta = {"ml_attr": {"type": "nominal", "name": name, "num_vals": codes + 1}}
+    code = F.coalesce(F.pmod(F.col(nominal), F.lit(codes)).cast("double"), F.lit(float(codes)))
+    return code.alias(name, metadata=meta)
 
-    Unknown values share one extra code after the known ones.
-    """
-    n = levels.count()
-    known = broadcast_if_small(levels.select(F.col(nominal).alias("_level"), "code"))
-    code = F.coalesce(F.col("code"), F.lit(float(n)))
-    meta = {"ml_attr": {"type": "nominal", "name": "_code", "num_vals": n + 1}}
-    coded = (
-        df.join(known, F.col(nominal) == F.col("_level"), "left")
-        .withColumn("_code", code.alias("_code", metadata=meta))
-        .drop("_level", "code")
-    )
+
+def assemble_with_code(df: DataFrame, features: list[str], nominal: str, codes: int) -> DataFrame:
+    """Feature vector whose ``nominal`` entry is a category code."""
+    coded = df.withColumn("_code", group_code(nominal, codes, "_code"))
     cols = ["_code" if c == nominal else c for c in features]
     return assemble(coded, cols, X, "keep").drop("_code")

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest table, in rows, that is ever broadcast. Callers of broadcast_if_small
-# fall back to a shuffle join above it.
+# Largest table, in rows and in bytes of values, that is ever broadcast. Above either,
+# callers of broadcast_if_small fall back to a shuffle join with the same result.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32_000_000
 
 
 def local_session(cores: str = "8", app: str = "helioframe") -> SparkSession:
@@ -33,9 +36,7 @@ def local_session(cores: str = "8", app: str = "helioframe") -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster a machine-local folder would be lost with its machine, so a missing
-    setting is an error there.
+    Without that setting, a folder below the warehouse, which all executors share too.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -43,16 +44,30 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="helioframe-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()
 
 
+_runs: list[str] = []  # folders of the scratch_run blocks that are open, innermost last
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Whatever is staged inside the block is deleted at its end."""
+    folder = f"{checkpoint_root(spark)}/run-{uuid.uuid4().hex}"
+    _runs.append(folder)
+    try:
+        yield
+    finally:
+        _runs.remove(folder)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_runs[-1] if _runs else checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -69,8 +84,13 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a row count; beyond it the join is left to shuffle.
+    """Broadcast hint behind a count of rows and bytes; beyond it the join is left to shuffle.
 
-    The count reads at most ``max_rows + 1`` rows; pass a staged or cheap frame.
+    One pre-aggregated pass over the frame; pass a staged or cheap one.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = F.lit(0)
+    for f in df.schema.fields:
+        wide = isinstance(f.dataType, (T.StringType, T.BinaryType))
+        size = size + (F.coalesce(F.octet_length(f.name), F.lit(0)) + 8 if wide else F.lit(16))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(df) if row["n"] <= max_rows and row["bytes"] <= BROADCAST_BYTES else df

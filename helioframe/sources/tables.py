@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from helioframe.functions.calendar import parse_time
 from helioframe.operators.ranges import range_positions
+from helioframe.session import stage
 
 # The columns of the observation files, in file order. Times are
 # text with an offset; every column between the ids and ``type`` is a double.
@@ -20,9 +21,6 @@ WEATHER_COLUMNS = (
     "temp_max", "temp_min", "wind_dir_a", "wind_spd_a", "coord1", "coord2",
 )
 
-# Largest result that write_delivery puts into a single file.
-SINGLE_FILE_ROWS = 5_000_000
-
 
 def panel_schema(columns: tuple[str, ...] = WEATHER_COLUMNS, energy: bool = True) -> T.StructType:
     """Explicit schema of an observation file; types are never guessed from a prefix."""
@@ -60,9 +58,12 @@ def read_panel(
     path: str | list[str],
     schema: T.StructType | None = None,
     time: str = "time",
-    strict: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
-    """CSV whose ``time`` text is parsed to a timestamp (lenient unless strict)."""
+    """CSV whose ``time`` text is parsed to a timestamp.
+
+    A text that is no time is an error when its row is read; ``strict=False`` makes it null.
+    """
     df = read_plain(spark, path, schema)
     if isinstance(df.schema[time].dataType, T.DatetimeType):
         return df
@@ -114,16 +115,14 @@ def write_delivery(
 ) -> None:
     """CSV with a header.
 
-    ``index`` adds a leading unnamed row number in that order. ``single_file`` is
-    for small results and refuses larger ones; the default writes one file per
-    partition.
+    ``index`` adds a leading unnamed row number in that order. ``single_file`` has one
+    task copy the finished rows into one file; the default writes one file per
+    partition, which is the way for large results.
     """
     if index:
         df = range_positions(df, index, "_c0").select("_c0", *df.columns)
     if time is not None and isinstance(df.schema[time].dataType, T.DatetimeType):
         df = time_text(df, time, fmt)
     if single_file:
-        if df.limit(SINGLE_FILE_ROWS + 1).count() > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows do not go into a single file")
-        df = df.coalesce(1)
+        df = stage(df, "delivery").coalesce(1)
     df.write.mode("overwrite").option("header", True).csv(path)

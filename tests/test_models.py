@@ -158,7 +158,7 @@ def test_first_rounds_do_not_depend_on_later_ones(trees):
     model = FittedModel("m", [c for c in trees.features if c != "pv_idx"], {})
     rows = stage(model.encode(trees.train).select("_x", (F.col("nins") > 0).cast("double").alias(LABEL)))
     boost = replace(SHORT.boosting(), patience=0)
-    long, _ = fit_positive_classifier(rows, None, replace(boost, rounds=6), 1, 64)
-    short, _ = fit_positive_classifier(rows, None, replace(boost, rounds=3), 1, 64)
+    long, _, _ = fit_positive_classifier(rows, None, replace(boost, rounds=6), 1, 64)
+    short, _, _ = fit_positive_classifier(rows, None, replace(boost, rounds=3), 1, 64)
     trees_of = lambda m: [t.toDebugString.split("\n", 1)[1] for t in m.stages[0].trees]
     assert trees_of(long)[:3] == trees_of(short)

@@ -24,8 +24,8 @@ def test_template_key_without_prediction_gets_zero(frame):
 def test_repeated_prediction_key_is_an_error(frame):
     template = frame([("t1", "a", "test")], KEYS)
     preds = frame([("t1", "a", "test", 5.0), ("t1", "a", "test", 6.0)], KEYS + ", nins double")
-    with pytest.raises(ValueError):
-        fill_template(template, preds)
+    with pytest.raises(Exception, match="more than one row"):
+        fill_template(template, preds).collect()
 
 
 def test_ensembles_differ_on_missing_predictions(frame):
