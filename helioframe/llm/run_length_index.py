@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helioframe.llm.batches import mix, prefix_hash, signed, slices, span_hash, texts_of
+from helioframe.session import stage
 
 LENGTH = 100
 SEED = 24
@@ -475,10 +476,11 @@ def remove_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", keep
         F.struct(F.lit(0).alias("_"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(keep) if c != text]).alias("rest"),
     )
     found = texts.select("id", "text").mapInArrow(_anchor_rows, "a bigint, id bigint")
-    often = found.groupBy("a").agg(F.count("*").alias("k")).where("k > 1")
+    often = found.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a", (F.col("k") > HOT).alias("many"))
+    often = stage(often, "anchors")  # then both sides of the join are shuffles, which adaptive execution can split
     lists = found.join(often, "a").groupBy("id").agg(
-        F.collect_set(F.when(F.col("k") <= HOT, F.col("a"))).alias("cold"),
-        F.collect_set(F.when(F.col("k") > HOT, F.col("a"))).alias("hot"),
+        F.collect_set(F.when(~F.col("many"), F.col("a"))).alias("cold"),
+        F.collect_set(F.when(F.col("many"), F.col("a"))).alias("hot"),
     )
     contexts = texts.join(lists, "id").select("id", "text", "rest", "cold", "hot").mapInArrow(_context_rows, _CONTEXT)
     found = contexts.repartition("key").sortWithinPartitions("key", "id", "s").mapInArrow(_match, _FOUND)
