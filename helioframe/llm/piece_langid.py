@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helioframe.llm.batches import Words, mix, prefix_hash, signed, slices, span_hash, texts_of
+from helioframe.llm.samples import least_hashed
 from helioframe.llm.suffix_tree_lm import held_out
 from helioframe.session import stage
 
@@ -196,8 +197,7 @@ def fit(docs: DataFrame, path: str, rounds: int = ROUNDS, rows: int = TRAIN_ROWS
     spark = docs.sparkSession
     labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     # Up to ``rows`` rows whatever the size of the table; more are never needed for this model.
-    ranked = labelled.select("id", F.xxhash64("id", "text").alias("h"), "lang", "text").orderBy("h", "id").limit(rows)
-    sample = stage(ranked.select("lang", "text"), "sample")
+    sample = stage(least_hashed(labelled, rows, "id", "text").select("lang", "text"), "sample")
     shares = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
     langs = sorted(shares)
     size = sentencepiece.SentencePieceProcessor(model_file=path).vocab_size() + 1
