@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helioframe.llm.batches import Words, byte_set, mix, slices, texts_of, windows
+from helioframe.llm.samples import least_hashed
 from helioframe.llm.suffix_tree_lm import held_out
 from helioframe.session import stage
 
@@ -193,7 +194,7 @@ def _score_rows(held):
 
 def _sample(rows: DataFrame, size: int) -> np.ndarray:
     """At most ``size`` feature rows, those of least id hash."""
-    table = rows.select("x", F.xxhash64("id").alias("h"), "id").orderBy("h", "id").limit(size).select("x").toArrow()
+    table = least_hashed(rows.select("id", "x"), size, "id").select("x").toArrow()
     values = table.column("x").combine_chunks().flatten().to_numpy()
     return values.reshape(table.num_rows, len(values) // max(table.num_rows, 1)).astype(float)
 
