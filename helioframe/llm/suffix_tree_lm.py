@@ -14,8 +14,8 @@ The base score is a unigram model over words with add-one smoothing.
 
 Scale: counts are merged in each task before one shuffle and grow with the corpus. The
 model comes to the driver as at most ``1 / MIN_NEXT`` transitions per depth, whatever
-the corpus size, and is broadcast. Word counts stay distributed: the ``COMMON`` most
-frequent words are broadcast, all others meet their counts in a join on the word's hash.
+the corpus size, and is broadcast. Word counts stay distributed: at most ``COMMON`` of the
+most frequent words are broadcast, all others meet their counts in a join on the word's hash.
 Texts are read twice and never shuffled.
 
 Defined cases: a null or empty text is the end symbol alone (one token); a null id is
@@ -286,7 +286,16 @@ def score_texts(
         keys = kept.column("key").to_numpy().astype(np.int64).view(np.uint64)
         order = np.argsort(keys)
         levels.append((keys[order], kept.column("n").to_numpy()[order]))
-    top = words.where(F.col("key") != END_WORD).orderBy(F.desc("n"), "key").limit(common).toArrow()
+    # The most frequent words by classes of count, as many whole classes as ``common`` allows.
+    rank = F.floor(F.log2("n") * 8).cast("int")
+    classes = sorted(((r["rank"], r["count"]) for r in words.groupBy(rank.alias("rank")).count().collect()), reverse=True)
+    held_words, least = 0, 10_000
+    for value, count in classes:  # at most some hundred classes
+        held_words += count
+        if held_words > common:
+            break
+        least = value
+    top = words.where((F.col("key") != END_WORD) & (rank >= least)).toArrow()
     order = np.argsort(top.column("key").to_numpy())
     held = spark.sparkContext.broadcast(
         {
