@@ -304,6 +304,28 @@ def test_passages(spark, nasty, empty):
     assert need and need <= {r.id for r in collinear_chains.fuzzy_passages(docs).collect()}
 
 
+def test_passages_made_of_earlier_fragments(spark):
+    """A passage whose halves come first elsewhere, or as an excerpt in the same source."""
+    draw = random.Random(11)
+    new = lambda n: [f"w{draw.randrange(10**6)}" for _ in range(n)]
+    pieces = [new(60) for _ in range(8)]
+    rows = []
+    for n, p in enumerate(pieces):
+        rows += [(100 * n + 1, new(30) + p[:30] + new(30)), (100 * n + 2, new(30) + p[30:] + new(30))]
+        rows += [(100 * n + i, new(40) + p + new(40)) for i in (5, 9)]
+        q = new(60)
+        rows += [(100 * n + 11, q[:30] + new(50) + q[30:] + new(50) + q), (100 * n + 12, new(40) + q + new(40))]
+    got = collinear_chains.fuzzy_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")).collect()
+    text = dict(rows)
+    expected = set()
+    for i, a in text.items():
+        for j, b in text.items():
+            runs = {tuple(b[s : s + 50]) for s in range(len(b) - 49)}
+            if j < i and any(tuple(a[s : s + 50]) in runs for s in range(len(a) - 49)):
+                expected.add((i, j))
+    assert len(expected) == 16 and {(r.id, r.source) for r in got} == expected
+
+
 # --- 7 near-duplicates
 
 
