@@ -326,6 +326,38 @@ def test_passages_made_of_earlier_fragments(spark):
     assert len(expected) == 16 and {(r.id, r.source) for r in got} == expected
 
 
+def test_edited_passages_are_found_at_every_similarity(spark):
+    draw = random.Random(12)
+    new = lambda n: [f"w{draw.randrange(10**7)}" for _ in range(n)]
+    rows, share = [], {}
+    for n in range(160):
+        percent, size = (95, 90, 87, 84)[n % 4], (55, 80)[n // 4 % 2]
+        p = new(size)
+        q = list(p)
+        for i in draw.sample(range(size), size * (100 - percent) // 100):
+            q[i] = new(1)[0]
+        rows += [(2 * n, new(60) + p + new(60)), (2 * n + 1, new(60) + q + new(60))]
+        share[2 * n + 1] = percent
+    got = collinear_chains.fuzzy_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")).collect()
+    text = dict(rows)
+    for r in got:
+        a, b = text[r.id][r.start : r.end], text[r.source][r.source_start : r.source_end]
+        assert r.source == r.id - 1 and len(a) >= 50 and r.equal >= 0.8 * r.columns
+        assert collinear_chains.edit_matches(np.array(a), np.array(b))[0] >= r.equal
+    found = Counter(share[i] for i in {r.id for r in got})
+    assert all(found[p] >= 39 for p in (95, 90, 87, 84)), found
+
+
+def test_longest_part_equals_a_plain_search():
+    draw = np.random.default_rng(4)
+    for _ in range(200):
+        widths = draw.integers(0, 5, draw.integers(1, 12))
+        hits = np.minimum(draw.integers(0, 5, len(widths)), widths)
+        ok = [e - s for s in range(len(hits)) for e in range(s + 1, len(hits) + 1) if 100 * hits[s:e].sum() >= 80 * widths[s:e].sum()]
+        s, e = collinear_chains.longest_part(hits, widths, 80)
+        assert e - s == max(ok, default=0) and 100 * hits[s:e].sum() >= 80 * widths[s:e].sum()
+
+
 # --- 7 near-duplicates
 
 
