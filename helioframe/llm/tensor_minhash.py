@@ -197,7 +197,8 @@ def near_duplicates(
     links = stage(_confirmed(_star(rows, percent), sets, percent), "links")
     labels = components(links)
     across = _across(_apart(rows, labels), classes, sets, percent, side)
-    links = stage(links.union(_confirmed(across, sets, percent)).distinct(), "links")
+    links = links.union(_confirmed(across, sets, percent)).union(_of_one_id(full, classes))
+    links = stage(links.distinct(), "links")
     labels = components(links)
 
     known = classes.select("h1", "h2", "n", F.col("id").alias("rep")).join(
@@ -210,6 +211,15 @@ def near_duplicates(
     )
 
 
+def _of_one_id(full: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links of each id that has several texts to the representatives of all of them."""
+    texts = full.select("id", "h1", "h2", "n").distinct()
+    several = texts.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").select("id")
+    named = classes.select("h1", "h2", "n", F.col("id").alias("rep"))
+    linked = texts.join(several, "id").join(named, ["h1", "h2", "n"]).where("id <> rep")
+    return linked.select(F.least("id", "rep").alias("a"), F.greatest("id", "rep").alias("b")).distinct()
+
+
 def _apart(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Members, with components, of the tables that still hold several components."""
     labelled = rows.join(labels.toDF("id", "c"), "id", "left").withColumn("c", F.coalesce("c", "id"))

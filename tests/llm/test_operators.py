@@ -371,6 +371,14 @@ def check_components(df, k):
     assert sorted((r.id or -1, r.n_shingles) for r in got) == sorted((i or -1, size[t]) for i, t in rows)
 
 
+def test_an_id_with_two_texts_links_both(spark):
+    draw = random.Random(9)
+    x, y, z = ([f"w{draw.randrange(10**6)}" for _ in range(60)] for _ in range(3))
+    near = [*y[:-1], "other"]
+    rows = [(3, x), (5, x), (5, y), (7, near), (8, z), (9, z), (9, y), (10, z)]
+    check_components(spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string"), 4)
+
+
 @pytest.mark.parametrize("k", [4, 5])
 def test_near_duplicates(spark, nasty, empty, k):
     check_components(nasty, k)
