@@ -444,6 +444,14 @@ def test_pages(spark):
     assert host_suffix_array.main_text(df.where("false")).count() == 0
 
 
+def test_copies_of_a_page_keep_their_text(spark):
+    menu = " ".join(f"menu{i}" for i in range(10))
+    own = [" ".join(f"own{n}x{i}" for i in range(30)) for n in range(3)]
+    rows = [(i, "http://h.x/a", f"<div>{menu}</div><p>{own[min(i, 2)]}</p>") for i in range(6)]
+    got = host_suffix_array.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r.row.page_id: r.text for r in got} == {i: own[min(i, 2)] for i in range(6)}
+
+
 def test_repeated_runs_equal_a_plain_search():
     draw = random.Random(5)
     contexts = [np.array([draw.randrange(3) for _ in range(draw.randint(8, 15))]) for _ in range(300)]
