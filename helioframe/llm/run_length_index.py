@@ -119,11 +119,11 @@ def _context_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         ids = batch.column("id").to_numpy()
         cold, hot = (_member(batch.column(c), doc, hashes) for c in ("cold", "hot"))
         sums = prefix_hash(data)
-        # Every window of a hot anchor is a context of its own, known by two hashes.
+        # Every window of a hot anchor is a context of its own, known by two unrelated hashes.
         spread = np.repeat(np.flatnonzero(hot), count[hot])
         lone = start[spread] + np.arange(len(spread)) - np.repeat(np.cumsum(count[hot]) - count[hot], count[hot])
         lone_hash = span_hash(sums, lone, lone + LENGTH)
-        key = np.concatenate([hashes[cold], mix(lone_hash + _U(1))])
+        key = np.concatenate([hashes[cold], _window_hash(data, lone)])
         c = np.concatenate([span_hash(sums, start[cold], start[cold] + count[cold] - 1 + LENGTH), lone_hash])
         s = np.concatenate([start[cold], lone])
         n = np.concatenate([count[cold], np.ones(len(lone), np.int64)])
@@ -160,6 +160,16 @@ def _joined(doc: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray
     return doc[lead], lo[lead], reach[last] - shift[last]
 
 
+def _window_hash(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hash of the ``LENGTH`` bytes from each start, from its pieces of ``SEED`` bytes; shares nothing with ``span_hash``."""
+    out = np.full(len(starts), LENGTH, np.uint64)
+    if len(starts):
+        pieces = _seed_hashes(data)
+        for at in [*range(0, LENGTH - SEED, SEED), LENGTH - SEED]:
+            out = mix(out * _U(0xD6E8FEB86659FD93) + pieces[starts + at])
+    return out
+
+
 def _member(lists: pa.Array, doc: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether each anchor's hash is in the list of its own document."""
     owner = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))

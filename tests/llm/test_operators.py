@@ -485,6 +485,21 @@ def test_repeated_substrings(spark, nasty, empty, monkeypatch, hot):
     assert run_length_index.remove_repeats(empty).count() == 0
 
 
+def test_windows_of_hot_anchors_have_two_unrelated_hashes(monkeypatch):
+    """With one of the two hashes useless, the other still tells different windows apart."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(run_length_index, "span_hash", lambda sums, starts, ends: np.zeros(len(starts), np.uint64))
+    draw = random.Random(3)
+    text = "".join(draw.choice("abcdef") for _ in range(1000))
+    data, places = texts_of(pa.array([text]))
+    hashes = np.unique(run_length_index.anchors(data, places)[0])
+    hot = pa.array([hashes.view(np.int64).tolist()], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text]), pa.array([[]], pa.list_(pa.int64())), hot], names=["id", "text", "cold", "hot"])
+    rows = pa.Table.from_batches(list(run_length_index._context_rows(iter([batch])))).to_pylist()
+    assert len(rows) == len({(r["key"], r["c"]) for r in rows}) == 901 and all(r["p"] == 0 for r in rows)
+
+
 def test_index_equals_a_plain_search():
     draw = random.Random(1)
     base = [bytes(draw.choice(b"ab") for _ in range(draw.randint(100, 176))) for _ in range(4)]
