@@ -12,10 +12,11 @@ input. Matches never cross documents.
    of one slice are sent once. An anchor with more than ``HOT`` occurrences is dealt by
    the hashes of each single window instead, so no task gets an unbounded group.
 3. Index. Different contexts of one anchor may still share windows. Over the bytes of
-   those that share a block with another, a Burrows-Wheeler transform is built and kept
-   as runs, with text positions sampled at the run ends; contexts are streamed backwards
-   through it by LF steps over the runs, which gives each window its interval of rows,
-   and so whether it matches ``LENGTH`` bytes of an earlier text.
+   those that share a block with another, suffixes are ranked by prefix doubling; rows
+   that share ``LENGTH`` bytes form an interval, and a window is a repeat when its interval
+   holds an earlier place. These ranks decide. The Burrows-Wheeler transform over the same
+   rows is kept as runs, and LF steps over them only lead from row to row; the full suffix
+   order is held too, and the samples at run ends are not read.
 4. Removed runs go back to their documents.
 
 Scale: rows that cross the network are two numbers per anchor (about one per 39 bytes),
