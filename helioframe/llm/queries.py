@@ -193,3 +193,58 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("end").alias("end_word"), F.col("source_start").alias("source_start_word"),
         F.col("source_end").alias("source_end_word"), (F.col("equal") / F.col("columns")).alias("similarity"),
     )
+
+
+def _op11_sql(k: int = 40, rounds: int = 5) -> str:
+    """Every round is three CTEs: all distances, the nearest centroid, the new centroids."""
+    near = """
+near{i} AS MATERIALIZED (SELECT r, min(struct_pack(d := d, c := c)) AS m FROM (
+  SELECT v.r, c.c, CAST(list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+  FROM v, cent{i} c) GROUP BY r)"""
+    move = """
+mean{i} AS (SELECT c, list(m ORDER BY j) AS x FROM (
+  SELECT c, j, (s - ((s % n) + n) % n) // n AS m FROM (
+    SELECT near{h}.m.c AS c, j, CAST(sum(v.x[j]) AS BIGINT) AS s, count(*) AS n
+    FROM near{h} JOIN v USING (r), (SELECT unnest(range(1, 65)) AS j) GROUP BY ALL)) GROUP BY c),
+cent{i} AS MATERIALIZED (SELECT c, coalesce(mean{i}.x, cent{h}.x) AS x FROM cent{h} LEFT JOIN mean{i} USING (c))"""
+    steps = [near.format(i=0)]
+    for i in range(1, rounds + 1):
+        steps += [move.format(i=i, h=i - 1), near.format(i=i)]
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+cent0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x
+  FROM (SELECT sha256('2:' || vec_id) AS h, x FROM v ORDER BY h, x LIMIT {k})),
+{", ".join(steps)}
+SELECT v.vec_id, CAST(f.m.c AS INTEGER) AS cluster, f.m.d AS distance,
+  CAST(sum(f.m.d) OVER (PARTITION BY f.m.c) AS BIGINT) AS cluster_inertia, CAST(sum(f.m.d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM near{rounds} f JOIN v USING (r) JOIN cent{rounds} c ON c.c = f.m.c
+"""
+
+
+@register("op11_lookup_clusters", _op11_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every embedding after five rounds."""
+    from helioframe.llm.lookup_clusters import cluster_vectors
+
+    found = cluster_vectors(table(spark, sf_dir, "embeddings"))
+    known = [(c, i, sum(found.inertia), found.digest(c)) for c, i in enumerate(found.inertia)]
+    known = spark.createDataFrame(known, "cluster int, cluster_inertia bigint, inertia bigint, centroid_sha256 string")
+    out = found.assigned.join(F.broadcast(known), "cluster")  # one row a centroid
+    return out.select(F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@register("op12_refined_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 16 whitened components of every embedding."""
+    from helioframe.llm.whitening import whiten
+
+    found = whiten(table(spark, sf_dir, "embeddings"))
+    shares = F.array(*[F.lit(e) for e in found.explained]) if found.explained else F.array(F.lit(0.0))
+    cells = found.rows.select(F.col("id").alias("vec_id"), "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return cells.select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(found.n).cast("bigint").alias("n"), "deviation", "whitened",
+        F.get(shares, F.col("place")).alias("explained"), F.lit(found.identity_error).alias("identity_error"),
+    )
