@@ -248,3 +248,15 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vec_id", (F.col("place") + 1).alias("component"), F.lit(found.n).cast("bigint").alias("n"), "deviation", "whitened",
         F.get(shares, F.col("place")).alias("explained"), F.lit(found.identity_error).alias("identity_error"),
     )
+
+
+OP13_SQL = OP7_SQL.replace("len(ws), 4)", "len(ws), 5)").replace(", w.doc_id <= coalesce(m.c, w.doc_id) AS kept", "")
+
+
+@register("op13_grouped_join", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under 0.8 similarity of 5-word shingles."""
+    from helioframe.llm.grouped_join import similar_documents
+
+    found = similar_documents(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
