@@ -15,8 +15,9 @@ element that only one group has in its prefix is dropped by a pre-aggregated cou
 which leaves a few per cent of all prefix elements. An element's groups are not expanded
 into pairs: each meets the one that shares most, links of such stars merge into
 components, and only groups that are still in different components meet each other, each
-pair once, in its first common element. That last step compares prefixes for the square
-of the groups that hold one element and are not linked. Nothing goes through the driver.
+pair once, in its first common element. Sizes and places are compared before prefixes
+are attached to a pair. That last step compares for the square of the groups that hold
+one element and are not linked. Nothing goes through the driver.
 
 Defined cases: null or empty texts, and texts without words, have an empty set and are
 linked with nothing; fewer words than a shingle make one shingle of the whole text;
@@ -135,37 +136,59 @@ def _bound(x: str, y: str, percent: int) -> Column:
     return fits & ((common + left) * (100 + percent) >= (n + m) * percent)
 
 
+def _near(x: str, y: str, percent: int) -> Column:
+    """The same from one common element at places i and j of two sets, counted from 0.
+
+    Common elements up to it are at most min(i, j) + 1, those behind it at most what
+    either set has left.
+    """
+    n, m, i, j = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.pos"), F.col(f"{y}.pos")
+    most = F.least(i, j) + F.least(n - i, m - j)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (most * (100 + percent) >= (n + m) * percent)
+
+
 def _pair(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _stars(rows: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of every group with the centre of each of its elements that pass the bound.
+def _with_centres(rows: DataFrame) -> DataFrame:
+    """Every element's groups beside its centre, the group whose elements most groups share.
 
-    The centre is the group whose elements most groups share: in a family of edited
-    copies that is the text they were made from, or the one nearest to it.
+    In a family of edited copies that is the text they were made from, or the one
+    nearest to it.
     """
-    centre = rows.groupBy("token").agg(F.max(F.struct("shared", "id")).alias("m")).select("token", F.col("m.id").alias("centre"))
-    pairs = rows.join(centre, "token").where("id <> centre").select(*_pair(F.col("id"), F.col("centre"))).distinct()
+    centre = rows.groupBy("token").agg(F.max(F.struct("shared", "id", "n", "pos")).alias("centre"))
+    return rows.drop("shared").join(centre, "token")
+
+
+def _stars(starred: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of every group with the centre of each of its elements that pass the bound."""
+    meet = starred.select(F.struct("n", "pos").alias("x"), "centre", "id").where((F.col("id") != F.col("centre.id")) & _near("x", "centre", percent))
+    pairs = meet.select(*_pair(F.col("id"), F.col("centre.id"))).distinct()
     lists = nodes.select("id", "n", "last", "list")
     near = pairs.join(lists.alias("x"), F.col("a") == F.col("x.id")).join(lists.alias("y"), F.col("b") == F.col("y.id"))
     return near.where(_bound("x", "y", percent)).select("a", "b").distinct()
 
 
-def _across(rows: DataFrame, nodes: DataFrame, spread: DataFrame, percent: int) -> DataFrame:
+def _across(starred: DataFrame, nodes: DataFrame, spread: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups, not all of one component, that pass the bound; each in its first common element.
 
     ``spread`` holds the least and the greatest component among the members of a group
-    and whether it has several. The only pair of an element of two documents was tested.
+    and whether it has several. Pairs with a centre were tested, unless one of them has
+    several members. Rows without a possible partner leave before prefixes are attached.
     """
-    held = rows.select("token", "id").join(spread, "id")
+    held = starred.select("token", "id", "n", "pos", (F.col("id") == F.col("centre.id")).alias("central")).join(spread, "id")
     mixed = held.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("k"), F.max("many").alias("many"))
     mixed = mixed.where("lo < hi AND (k > 2 OR many)").select("token")
-    wide = stage(held.join(mixed, "token").join(nodes.select("id", "n", "last", "list"), "id"), "apart")
-    x, y = wide.alias("x"), wide.alias("y")
+    held = stage(held.join(mixed, "token"), "mixed")
     joined = (F.col("x.lo") == F.col("x.hi")) & (F.col("x.hi") == F.col("y.lo")) & (F.col("y.lo") == F.col("y.hi"))
+    known = (F.col("x.central") | F.col("y.central")) & ~F.col("x.many") & ~F.col("y.many")
+    meet = (F.col("x.token") == F.col("y.token")) & ~joined & ~known & _near("x", "y", percent)
+    able = held.alias("x").join(held.alias("y"), meet & (F.col("x.id") != F.col("y.id")), "left_semi")
+    lists = nodes.select("id", "n", "last", "list")
+    wide = stage(able.join(lists, ["id", "n"]), "apart")
     first = F.array_min(F.array_intersect("x.list", "y.list")) == F.col("x.token")
-    pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id")) & ~joined & _bound("x", "y", percent) & first)
+    pairs = wide.alias("x").join(wide.alias("y"), meet & (F.col("x.id") < F.col("y.id")) & _bound("x", "y", percent) & first)
     return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
 
 
@@ -212,23 +235,23 @@ def similar_documents(
     others = full.select("id", "h1", "h2").distinct().join(leads, ["id", "h1", "h2"], "left_anti")
 
     held = full.join(broadcast_if_small(stage(others, "others")), ["id", "h1", "h2"], "left_anti")
-    tokens = held.select("id", "n", "last", F.explode("prefix").alias("token"))
+    tokens = held.select("id", "n", "last", F.posexplode("prefix").alias("pos", "token"))
     several = tokens.groupBy("token").agg(F.count("*").alias("k")).where("k > 1")
     nodes = tokens.join(several, "token").groupBy("id", "n", "last").agg(
-        F.collect_list("token").alias("list"), F.sum("k").alias("shared")
+        F.collect_list(F.struct("token", "pos")).alias("at"), F.sum("k").alias("shared")
     )
-    nodes = stage(nodes, "nodes")
-    rows = stage(nodes.select("id", "shared", F.explode("list").alias("token")), "tokens")
+    nodes = stage(nodes.withColumn("list", F.col("at.token")), "nodes")
+    starred = stage(_with_centres(nodes.select("id", "n", "shared", F.inline("at"))), "tokens")
 
     inside = members.where("id <> lead").select(*_pair(F.col("id"), F.col("lead")))
-    tested = stage(_stars(rows, nodes, percent).union(inside).distinct(), "stars")
+    tested = stage(_stars(starred, nodes, percent).union(inside).distinct(), "stars")
     links = stage(_confirmed(tested, texts, shingle, percent), "links")
 
     labels = components(links).toDF("id", "c")
     everyone = members.union(nodes.select("id", "id")).distinct().toDF("lead", "id")
     everyone = stage(everyone.join(labels, "id", "left").select("lead", "id", F.coalesce("c", "id").alias("c")), "members")
     spread = everyone.groupBy("lead").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), (F.count("*") > 1).alias("many"))
-    across = _across(rows, nodes, spread.withColumnRenamed("lead", "id"), percent)
+    across = _across(starred, nodes, spread.withColumnRenamed("lead", "id"), percent)
     one, two = everyone.toDF("a", "one", "c1"), everyone.toDF("b", "two", "c2")
     expanded = across.join(one, "a").join(two, "b").where("c1 <> c2").select(*_pair(F.col("one"), F.col("two")))
     alike = everyone.toDF("lead", "one", "c1").join(everyone.toDF("lead", "two", "c2"), "lead").where("c1 < c2")
