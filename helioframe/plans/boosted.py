@@ -1,12 +1,8 @@
-"""Boosted trees: patience, the two-stage hurdle model and the plain baseline."""
+"""Boosted trees: the two stages of the hurdle model and the plain baseline."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,64 +13,15 @@ from helioframe.operators.groups import union_ids
 from helioframe.operators.ranges import range_positions
 from helioframe.operators.sampling import subsample
 from helioframe.params import BoostParams, RunParams
-from helioframe.plans.models import CLASS, PROB, RAW, SIZE, FittedModel, X
+from helioframe.plans.boosting import LABEL, boost, patience_cut
+from helioframe.plans.models import CLASS, PROB, RAW, SIZE, FittedModel, X, group_levels
 from helioframe.plans.prepare import GROUP_INDEX, Prepared
 from helioframe.session import stage
 
-LABEL = "_label"
-
-
-def _shared(params: BoostParams, rounds: int, seed: int, bins: int) -> dict:
-    fraction = params.feature_fraction
-    return {
-        "featuresCol": X,
-        "labelCol": LABEL,
-        "maxIter": rounds,
-        "stepSize": params.step_size,
-        "maxDepth": params.max_depth,
-        "minInstancesPerNode": params.min_leaf_rows,
-        "subsamplingRate": params.row_fraction,
-        "featureSubsetStrategy": "all" if fraction >= 1.0 else str(fraction),
-        "maxBins": bins,
-        "seed": seed,
-    }
-
-
-def patience_cut(losses: list[float], patience: int) -> tuple[int, bool]:
-    """(rounds to keep, whether patience ran out) for a loss per round."""
-    best, best_at = float("inf"), 0
-    for i, loss in enumerate(losses):
-        if loss < best:
-            best, best_at = loss, i
-        elif i - best_at >= patience:
-            return best_at + 1, True
-    return best_at + 1, False
-
-
-def fit_with_patience(
-    fit: Callable[[int], object],
-    losses_of: Callable[[object], list[float]] | None,
-    rounds: int,
-    patience: int,
-):
-    """Fit until the held-out loss stops improving for ``patience`` rounds.
-
-    A boosted model's first rounds do not depend on later ones, so the number of
-    rounds is doubled until patience runs out, and the model is refitted once to
-    the best round. At most a small multiple of the needed rounds is fitted.
-    Returns the model, its rounds, and the held-out loss of every round tried.
-    """
-    if losses_of is None or patience <= 0:
-        return fit(rounds), rounds, []
-    size = min(rounds, 2 * patience)
-    while True:
-        model = fit(size)
-        losses = losses_of(model)
-        keep, stopped = patience_cut(losses, patience)
-        if stopped or size == rounds:
-            break
-        size = min(rounds, 2 * size)
-    return (model if keep == size else fit(keep)), keep, losses
+__all__ = [
+    "LABEL", "category_levels", "fit_hurdle", "fit_plain_boosted", "fit_positive_classifier", "fit_size_regressor",
+    "informative", "patience_cut", "size_scale",
+]
 
 
 def fit_positive_classifier(
@@ -82,13 +29,10 @@ def fit_positive_classifier(
 ) -> tuple[PipelineModel, int, list[float]]:
     """Stage 1: probability that the target is positive. Frames hold ``_x`` and ``_label``."""
 
-    def fit(rounds: int):
-        learner = GBTClassifier(predictionCol=CLASS, **_shared(params, rounds, seed, bins))
-        return learner.setRawPredictionCol(RAW).setProbabilityCol(PROB).fit(train)
-
-    losses = None if val is None else lambda model: model.evaluateEachIteration(val)
-    model, kept, history = fit_with_patience(fit, losses, params.rounds, params.patience)
-    return PipelineModel([model]), kept, history
+    forest = boost(train, val, params, "logistic", seed, bins)
+    model = forest.first(forest.kept).model(train.sparkSession).setFeaturesCol(X)
+    model.setPredictionCol(CLASS).setRawPredictionCol(RAW).setProbabilityCol(PROB)
+    return PipelineModel([model]), forest.kept, forest.losses
 
 
 def size_scale(rows: DataFrame, y: str, loss: str) -> float | None:
@@ -108,14 +52,9 @@ def fit_size_regressor(
 ) -> tuple[PipelineModel, int, list[float]]:
     """Stage 2: size of a positive target. Early stopping watches the absolute error."""
 
-    def fit(rounds: int):
-        return GBTRegressor(
-            predictionCol=SIZE, lossType=params.loss, **_shared(params, rounds, seed, bins)
-        ).fit(train)
-
-    losses = None if val is None else lambda model: model.evaluateEachIteration(val, "absolute")
-    model, kept, history = fit_with_patience(fit, losses, params.rounds, params.patience)
-    return PipelineModel([model]), kept, history
+    forest = boost(train, val, params, params.loss, seed, bins)
+    model = forest.first(forest.kept).model(train.sparkSession)
+    return PipelineModel([model.setFeaturesCol(X).setPredictionCol(SIZE)]), forest.kept, forest.losses
 
 
 def category_levels(frames: list[DataFrame], column: str) -> DataFrame:
@@ -139,6 +78,8 @@ def fit_hurdle(prepared: Prepared, params: RunParams, use_group: bool = True) ->
     codes = params.group_codes if nominal else 0
     bins = max(boost.max_bins, codes + 1)
     model = FittedModel(params.model, features, {}, params.positive_threshold, nominal, codes)
+    if nominal:
+        model.levels = group_levels(prepared.vocabulary, params.group)
 
     # Features and target once, on disk: both stages and every round start here.
     y, t = params.target, params.positive_threshold

@@ -15,7 +15,7 @@ from helioframe.operators.filters import positives
 from helioframe.operators.sampling import label_rows
 from helioframe.operators.scale import apply_scaler, fit_scaler
 from helioframe.params import RunParams
-from helioframe.plans.models import CLASS, PROB, RAW, SIZE, WITH_GROUP, FittedModel, TwoHeadModel, X
+from helioframe.plans.models import CLASS, PROB, RAW, SIZE, WITH_GROUP, FittedModel, TwoHeadModel, X, group_levels
 from helioframe.plans.prepare import Prepared
 from helioframe.session import stage
 
@@ -45,7 +45,8 @@ def _with_group(features: str) -> list:
 def fit_two_head(prepared: Prepared, params: RunParams) -> FittedModel:
     """Logistic head for the sign and robust linear head for the size of positives."""
     model = TwoHeadModel(
-        "two_head", list(prepared.features), {}, params.positive_threshold, codes=params.group_codes
+        "two_head", list(prepared.features), {}, params.positive_threshold, codes=params.group_codes,
+        levels=group_levels(prepared.vocabulary, params.group),
     )
     y = params.target
     label = positive_label(F.col(y), params.positive_threshold)

@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 from helioframe.functions.scalars import clamp_negative, hurdle_value
 from helioframe.operators.columns import assemble
 from helioframe.plans.prepare import GROUP_INDEX
-from helioframe.sources.artifacts import finite, load_description, save_description
+from helioframe.plans.tree_tables import forest_rows
+from helioframe.session import broadcast_if_small
+from helioframe.sources.artifacts import finite, load_description, new_version, save_description
 
 X, RAW, PROB, CLASS, SIZE = "_x", "_raw", "_prob", "_class", "_size"
 WITH_GROUP = "_xg"
@@ -24,8 +26,11 @@ class FittedModel:
 
     With a classifier the prediction is probability times clamped size (0 if no
     regressor could be fitted); with a regressor alone it is the clamped size.
-    ``nominal`` is a feature that is read as one of ``codes`` categories: its value
-    modulo ``codes``, or one extra category where it is missing.
+    ``nominal`` is a feature that is read as one of ``codes`` categories. ``levels``
+    (the group column and ``level``) is the dictionary of the groups that the model was
+    fitted with and belongs to the model, so codes do not depend on the rows that are
+    scored later: a group's category is its level modulo ``codes``, and a group that the
+    dictionary does not hold has one extra category.
     """
 
     kind: str
@@ -36,12 +41,19 @@ class FittedModel:
     codes: int = 0
     metrics: dict[str, float] = field(default_factory=dict)
     info: dict = field(default_factory=dict)
+    levels: DataFrame | None = None
+
+    def with_level(self, df: DataFrame) -> DataFrame:
+        """``_level`` beside the input columns, null where the dictionary does not hold the group."""
+        group = next(c for c in self.levels.columns if c != "level")
+        known = self.levels.select(F.col(group).alias("_group_id"), F.col("level").alias("_level"))
+        return df.join(broadcast_if_small(known), F.col(group) == F.col("_group_id"), "left").drop("_group_id")
 
     def encode(self, df: DataFrame) -> DataFrame:
         """Feature vector beside the input columns."""
         if self.nominal is None:
             return assemble(df, self.features, X, "keep")
-        return assemble_with_code(df, self.features, self.nominal, self.codes)
+        return assemble_with_code(self.with_level(df), self.features, self.nominal, self.codes).drop("_level")
 
     def heads(self, df: DataFrame) -> DataFrame:
         """Input columns plus ``probability``, ``logit`` and ``magnitude`` where they exist."""
@@ -71,21 +83,32 @@ class FittedModel:
         return out.withColumn(name, value).drop("probability", "logit", "magnitude")
 
     def save(self, path: str, spark: SparkSession, epoch: int = 0) -> str | None:
-        """Write parts and description; a model without a finite MAE is not saved."""
+        """Write parts, levels, trees and description; a model without a finite MAE is not saved.
+
+        Everything goes to a new folder below ``path``; the description, written last,
+        names it. A save that is cut short leaves what was saved before.
+        """
         if not finite(self.metrics.get("mae")):
             return None
+        version = new_version()
         for name, part in self.parts.items():
-            part.write().overwrite().save(f"{path}/{name}")
+            part.write().overwrite().save(f"{path}/{version}/{name}")
+            if hasattr(part.stages[-1], "treeWeights"):
+                forest_rows(spark, part.stages[-1]).write.parquet(f"{path}/{version}/{name}_trees")
+        if self.levels is not None:
+            self.levels.write.parquet(f"{path}/{version}/levels")
         save_description(
             spark,
             path,
             {
+                "version": version,
                 "kind": self.kind,
                 "features": self.features,
                 "parts": sorted(self.parts),
                 "threshold": self.threshold,
                 "nominal": self.nominal,
                 "codes": self.codes,
+                "levels": self.levels is not None,
                 "metrics": self.metrics,
                 "info": self.info,
                 "epoch": epoch,
@@ -98,9 +121,8 @@ class TwoHeadModel(FittedModel):
     """Hurdle model whose heads also see a one-hot group index."""
 
     def encode(self, df: DataFrame) -> DataFrame:
-        return assemble(df, self.features, X, "keep").withColumn(
-            "_group", group_code(GROUP_INDEX, self.codes, "_group")
-        )
+        coded = assemble(self.with_level(df), self.features, X, "keep")
+        return coded.withColumn("_group", group_code("_level", self.codes, "_group")).drop("_level")
 
     def heads(self, df: DataFrame) -> DataFrame:
         out = self.encode(df)
@@ -123,27 +145,39 @@ def load_model(spark: SparkSession, path: str, need_classifier: bool = False) ->
     if need_classifier and "classifier" not in d["parts"]:
         raise ValueError(f"saved model {path} has no classifier")
     make = TwoHeadModel if d["kind"] == "two_head" else FittedModel
+    folder = f"{path}/{d['version']}"
     return make(
         kind=d["kind"],
         features=d["features"],
-        parts={name: PipelineModel.load(f"{path}/{name}") for name in d["parts"]},
+        parts={name: PipelineModel.load(f"{folder}/{name}") for name in d["parts"]},
         threshold=d["threshold"],
         nominal=d["nominal"],
         codes=d["codes"],
         metrics=d["metrics"],
         info=d["info"],
+        levels=spark.read.parquet(f"{folder}/levels") if d["levels"] else None,
     )
 
 
-def group_code(nominal: str, codes: int, name: str) -> Column:
-    """The value modulo ``codes``; a missing one has the extra code after those."""
+def saved_trees(spark: SparkSession, path: str, part: str) -> DataFrame:
+    """Node rows of a part of a saved model (see ``tree_tables``)."""
+    return spark.read.parquet(f"{path}/{load_description(spark, path)['version']}/{part}_trees")
+
+
+def group_levels(vocabulary: DataFrame, group: str) -> DataFrame:
+    """A model's dictionary from the vocabulary of the rows that it is fitted with."""
+    return vocabulary.select(group, F.col(GROUP_INDEX).alias("level"))
+
+
+def group_code(level: str, codes: int, name: str) -> Column:
+    """The level modulo ``codes``; a missing one has the extra code after those."""
     meta = {"ml_attr": {"type": "nominal", "name": name, "num_vals": codes + 1}}
-    code = F.coalesce(F.pmod(F.col(nominal), F.lit(codes)).cast("double"), F.lit(float(codes)))
+    code = F.coalesce(F.pmod(F.col(level), F.lit(codes)).cast("double"), F.lit(float(codes)))
     return code.alias(name, metadata=meta)
 
 
 def assemble_with_code(df: DataFrame, features: list[str], nominal: str, codes: int) -> DataFrame:
-    """Feature vector whose ``nominal`` entry is a category code."""
-    coded = df.withColumn("_code", group_code(nominal, codes, "_code"))
+    """Feature vector whose ``nominal`` entry is the category code of ``_level``."""
+    coded = df.withColumn("_code", group_code("_level", codes, "_code"))
     cols = ["_code" if c == nominal else c for c in features]
     return assemble(coded, cols, X, "keep").drop("_code")

@@ -73,7 +73,7 @@ def prepare(
     train_sizes = stage(group_sizes(train, [group]), "train-groups")
     test_sizes = stage(group_sizes(test, [group]), "test-groups")
     require_groups(train_sizes, group)
-    vocabulary = index_groups([train_sizes, test_sizes], group, GROUP_INDEX)
+    vocabulary = stage(index_groups([train_sizes, test_sizes], group, GROUP_INDEX), "vocabulary")
 
     features = select_features(train, params)
     fillable = list(features)
