@@ -11,7 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
-_MODULES = ("sources", "projections", "joins", "aggregates", "series", "scalars", "samples", "models")
+_MODULES = ("sources", "projections", "joins", "aggregates", "series", "scalars", "samples", "models", "fitted")
 
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helioframe.catalog import register
-from helioframe.catalog.common import KEYS, MODELS, r6, r6_sql
+from helioframe.catalog.common import KEYS, MODELS, RAW, r6, r6_sql
 from helioframe.fixtures import duck, view
 from helioframe.functions.calendar import parse_time
 from helioframe.functions.scalars import clamp_negative
@@ -17,6 +17,7 @@ from helioframe.sources.tables import (
     read_plain,
     read_predictions,
     read_trio,
+    read_with_rejects,
     write_delivery,
 )
 
@@ -70,6 +71,60 @@ def s1_read_trio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seen.unionByName(wanted)
 
 
+_TRIO_SCHEMA = ", ".join(["time string", "pv_id string", *[f"{c} double" for c in RAW], "type string", "nins double"])
+
+
+def _shuffled_file(spark: SparkSession, sf_dir: str, bad: bool) -> str:
+    """All observations with every weather column, columns in falling order of name.
+
+    With ``bad``, humidity reads "n/a" in every 50th row, and every 70th has a cell too many.
+    """
+    path = scratch_path(spark, "shuffled")
+    obs = offset_text(view(spark, sf_dir, "obs")).drop("energy")
+    if bad:
+        obs = obs.withColumn("humidity", F.when(F.col("row_id") % 50 == 0, F.lit("n/a")).otherwise(F.col("humidity").cast("string")))
+    cols = sorted(obs.columns, reverse=True)
+    if not bad:
+        write_delivery(obs.select(*cols), path)
+        return path
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
+    line = F.concat_ws(",", *cells, F.when(F.col("row_id") % 70 == 0, F.lit("more")))
+    # One header a file, as a delivery has it: the only file starts with it.
+    head = spark.createDataFrame([(",".join(cols),)], "value string")
+    head.union(obs.select(line.alias("value"))).coalesce(1).write.text(path)
+    return path
+
+
+@register(
+    "s1_columns_by_name",
+    duck(
+        f"""SELECT CAST(row_id AS BIGINT) AS row_id, pv_id, type, {_SECONDS_SQL} AS at_second,
+        {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in RAW)}, nins FROM obs"""
+    ),
+)
+def s1_columns_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file whose columns stand in another order than the schema's."""
+    back = read_panel(spark, _shuffled_file(spark, sf_dir, False), f"row_id bigint, {_TRIO_SCHEMA}")
+    return back.select("row_id", "pv_id", "type", F.unix_seconds("time").alias("at_second"), *RAW, "nins")
+
+
+@register(
+    "s1_rejected_lines",
+    duck(
+        """SELECT CAST(row_id AS BIGINT) AS row_id, row_id % 50 = 0 OR row_id % 70 = 0 AS rejected,
+        CASE WHEN row_id % 50 <> 0 AND row_id % 70 <> 0 THEN humidity END AS humidity FROM obs"""
+    ),
+)
+def s1_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows of a file, and the lines that were set aside from it."""
+    path = _shuffled_file(spark, sf_dir, True)
+    good, rejected = read_with_rejects(spark, path, f"row_id bigint, {_TRIO_SCHEMA}")
+    place = sorted(["row_id", "time", "pv_id", "type", "nins", *RAW], reverse=True).index("row_id")
+    row_id = F.split("line", ",")[place].cast("bigint").alias("row_id")
+    lost = rejected.select(row_id, F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("humidity"))
+    return good.select("row_id", F.lit(False).alias("rejected"), "humidity").union(lost)
+
+
 @register(
     "s2_plain_scan",
     duck(
@@ -156,6 +211,6 @@ def s4_delivery_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 def s5_delivery_with_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "delivery") + ".csv"
     write_delivery(offset_text(delivery(spark, sf_dir)), path, index=["pv_id", "time"])
-    schema = "row_idx bigint, time string, pv_id string, type string, nins double"
+    schema = "_c0 bigint, time string, pv_id string, type string, nins double"
     back = read_panel(spark, path, schema=schema)
-    return back.select("row_idx", "pv_id", F.unix_seconds("time").alias("at_second"), r6("nins").alias("nins"))
+    return back.select(F.col("_c0").alias("row_idx"), "pv_id", F.unix_seconds("time").alias("at_second"), r6("nins").alias("nins"))

@@ -68,28 +68,30 @@ def _loss(objective: str) -> Column:
 # --- leaf values
 
 
-def leaf_medians(rows: DataFrame, leaf: str, value: str) -> DataFrame:
-    """``leaf``, ``n`` and the exact lower median of ``value``, whatever the size of a leaf.
+def leaf_medians(rows: DataFrame, leaf: str, value: str, sketch_rows: int = SKETCH_ROWS) -> dict[int, tuple[int, float]]:
+    """Rows and exact lower median of ``value`` for every ``leaf`` of one tree.
 
     A sketch holds every value of a small leaf. For larger ones it brackets the median;
     values outside the bracket are only counted, those inside (a few of 10,000) are
-    grouped, and a running count finds the one in the middle.
+    grouped, and a running count finds the one in the middle. What is returned has one
+    entry a leaf.
     """
-    eps = 2.0 / SKETCH_ROWS
+    eps = 2.0 / sketch_rows
     at = F.array(F.lit(0.5 - eps), F.lit(0.5), F.lit(0.5 + eps))
-    known = rows.groupBy(leaf).agg(F.count("*").alias("n"), F.percentile_approx(value, at, SKETCH_ROWS).alias("q"))
-    known = stage(known, "leaves")
-    small = known.where(F.col("n") <= SKETCH_ROWS).select(leaf, "n", F.col("q")[1].alias("median"))
-    large = known.where(F.col("n") > SKETCH_ROWS).select(leaf, "n", F.col("q")[0].alias("lo"), F.col("q")[2].alias("hi"))
-    if large.isEmpty():
-        return small
+    known = rows.groupBy(leaf).agg(F.count("*").alias("n"), F.percentile_approx(value, at, sketch_rows).alias("q"))
+    found = {r[leaf]: (r["n"], r["q"]) for r in known.collect()}
+    out = {i: (n, q[1]) for i, (n, q) in found.items() if n <= sketch_rows}
+    large = [(i, n, q[0], q[2]) for i, (n, q) in found.items() if n > sketch_rows]
+    if not large:
+        return out
+    bounds = rows.sparkSession.createDataFrame(large, f"{leaf} {dict(rows.dtypes)[leaf]}, n bigint, lo double, hi double")
     # Each leaf's counts, one row a distinct value inside the bracket and one below it.
-    placed = rows.join(F.broadcast(large), leaf).where(F.col(value) <= F.col("hi"))
+    placed = rows.join(F.broadcast(bounds), leaf).where(F.col(value) <= F.col("hi"))
     inside = F.when(F.col(value) >= F.col("lo"), F.col(value))
     counts = placed.groupBy(leaf, "n", inside.alias("v")).agg(F.count("*").alias("k"))
     running = F.sum("k").over(Window.partitionBy(leaf).orderBy(F.col("v").asc_nulls_first()))
     middle = counts.withColumn("r", running).where("v IS NOT NULL AND r >= (n + 1) div 2")
-    return small.union(middle.groupBy(leaf, "n").agg(F.min("v").alias("median")))
+    return out | {r[leaf]: (r["n"], r["m"]) for r in middle.groupBy(leaf, "n").agg(F.min("v").alias("m")).collect()}
 
 
 def _with_leaf_values(spark: SparkSession, tree: DecisionTreeRegressionModel, values: dict[int, float]):
@@ -136,15 +138,20 @@ class Forest:
             trees[i], weights[i] = tree._java_obj, weight
         uid = f"forest_{abs(hash(tuple(t.uid for t in self.trees))):x}"
         if self.objective == "logistic":
-            return GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(uid, trees, weights))
-        return GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(uid, trees, weights))
+            model = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(uid, trees, weights))
+        else:
+            model = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(uid, trees, weights))
+        model.set(model.featuresCol, X)
+        model.set(model.labelCol, LABEL)
+        model._transfer_params_to_java()
+        return model
 
     def margins(self, rows: DataFrame) -> DataFrame:
         """``rows`` with the sum of all trees, 0 without one."""
         if not self.trees:
             return rows.withColumn(MARGIN, F.lit(0.0))
         whole = replace(self, objective="squared").model(rows.sparkSession)
-        return whole.setFeaturesCol(X).setPredictionCol(MARGIN).transform(rows)
+        return whole.setPredictionCol(MARGIN).transform(rows)
 
 
 def _stepped(rows: DataFrame, tree: DecisionTreeRegressionModel, weight: float) -> DataFrame:
@@ -184,8 +191,8 @@ def boost(
         if objective == "absolute":
             placed = tree.setFeaturesCol(X).setPredictionCol(STEP).setLeafCol(LEAF).transform(train)
             away = placed.select(F.col(LEAF).cast("int").alias(LEAF), (F.col(LABEL) - F.col(MARGIN)).alias("_away"))
-            found = leaf_medians(away, LEAF, "_away").collect()  # at most 2 ** depth leaves
-            tree = _with_leaf_values(spark, tree, {r[LEAF]: r["median"] for r in found})
+            found = leaf_medians(away, LEAF, "_away")
+            tree = _with_leaf_values(spark, tree, {i: median for i, (_, median) in found.items()})
         weight = 1.0 if first else params.step_size
         trees.append(tree)
         weights.append(weight)

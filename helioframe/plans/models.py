@@ -44,7 +44,12 @@ class FittedModel:
     levels: DataFrame | None = None
 
     def with_level(self, df: DataFrame) -> DataFrame:
-        """``_level`` beside the input columns, null where the dictionary does not hold the group."""
+        """``_level`` beside the input columns, null where the dictionary does not hold the group.
+
+        Without a dictionary the level is the group index of the rows.
+        """
+        if self.levels is None:
+            return df.withColumn("_level", F.col(self.nominal or GROUP_INDEX))
         group = next(c for c in self.levels.columns if c != "level")
         known = self.levels.select(F.col(group).alias("_group_id"), F.col("level").alias("_level"))
         return df.join(broadcast_if_small(known), F.col(group) == F.col("_group_id"), "left").drop("_group_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,28 +44,85 @@ SUBMISSION_SCHEMA = T.StructType(
 )
 
 
+BAD_LINE = "_bad_line"
+
+
+def _struct(schema: T.StructType | str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
+def bind_header(spark: SparkSession, path: str, schema: T.StructType | str) -> T.StructType:
+    """``schema`` in the order of the file's header.
+
+    Columns are found by name, so their order in the file does not matter. A column that
+    the header lacks is an error; columns that only the file has are read as text.
+    """
+    names = spark.read.option("header", True).csv(path).columns  # reads the first line only
+    wanted = {f.name: f for f in _struct(schema).fields}
+    missing = [c for c in wanted if c not in names]
+    if missing:
+        raise ValueError(f"columns {missing} are not in the header of {path}: {names}")
+    return T.StructType([wanted.get(c, T.StructField(c, T.StringType())) for c in names])
+
+
+def _bound(spark: SparkSession, path: str, schema: T.StructType | str, mode: str, extra: str | None = None) -> DataFrame:
+    bound = bind_header(spark, path, schema)
+    # Other files of a folder must have the header of the first one.
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("mode", mode)
+    if extra:
+        bound = T.StructType([*bound.fields, T.StructField(extra, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", extra).option("columnPruning", False)
+    return reader.schema(bound).csv(path)
+
+
 def read_plain(
-    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None, strict: bool = True
 ) -> DataFrame:
-    """CSV with a header and no date parsing; types are inferred only without a schema."""
-    reader = spark.read.option("header", True)
+    """CSV with a header and no date parsing; types are inferred only without a schema.
+
+    With a schema, columns are bound by header name, file by file, and returned in the
+    order of the schema. A text that is no value of its column is an error when it is
+    read; ``strict=False`` makes it null (``read_with_rejects`` sets its line aside).
+    """
     if schema is None:
-        return reader.option("inferSchema", True).option("timestampFormat", "'none'").csv(path)
-    return reader.schema(schema).csv(path)
+        return spark.read.option("header", True).option("inferSchema", True).option("timestampFormat", "'none'").csv(path)
+    mode = "FAILFAST" if strict else "PERMISSIVE"
+    names = _struct(schema).fieldNames()
+    frames = [_bound(spark, p, schema, mode).select(*names) for p in ([path] if isinstance(path, str) else path)]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def read_with_rejects(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | str
+) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit the schema, lines that do not).
+
+    A line is set aside when it has a text that is no value of its column, or more or
+    fewer cells than the header. Its row has ``file`` and ``line``. The files are parsed once.
+    """
+    names = _struct(schema).fieldNames()
+    frames = [
+        _bound(spark, p, schema, "PERMISSIVE", BAD_LINE).select(*names, BAD_LINE, F.col("_metadata.file_path").alias("_file"))
+        for p in ([path] if isinstance(path, str) else path)
+    ]
+    parsed = stage(reduce(DataFrame.unionByName, frames), "parsed")
+    bad = F.col(BAD_LINE).isNotNull()
+    return parsed.where(~bad).select(*names), parsed.where(bad).select(F.col("_file").alias("file"), F.col(BAD_LINE).alias("line"))
 
 
 def read_panel(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType | None = None,
+    schema: T.StructType | str | None = None,
     time: str = "time",
     strict: bool = True,
 ) -> DataFrame:
     """CSV whose ``time`` text is parsed to a timestamp.
 
-    A text that is no time is an error when its row is read; ``strict=False`` makes it null.
+    A text that is no time, or no value of its column, is an error when its row is read;
+    ``strict=False`` makes it null.
     """
-    df = read_plain(spark, path, schema)
+    df = read_plain(spark, path, schema, strict)
     if isinstance(df.schema[time].dataType, T.DatetimeType):
         return df
     return df.withColumn(time, parse_time(F.col(time), strict=strict))
@@ -92,13 +150,14 @@ def read_trio(
 
 
 def read_predictions(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Prediction files stacked in one scan; ``model`` is the name given in the path.
+    """Prediction files, each bound by its own header; ``model`` is the name given in the path.
 
     A path may be one file or a folder written by Spark.
     """
-    df = spark.read.option("header", True).schema(SUBMISSION_SCHEMA).csv(paths)
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)\.csv(/[^/]*)?$", 1)
-    return df.withColumn("model", name).withColumn("time", parse_time(F.col("time")))
+    names = SUBMISSION_SCHEMA.fieldNames()
+    frames = [_bound(spark, p, SUBMISSION_SCHEMA, "FAILFAST").select(*names, name.alias("model")) for p in paths]
+    return reduce(DataFrame.unionByName, frames).withColumn("time", parse_time(F.col("time")))
 
 
 def time_text(df: DataFrame, time: str = "time", fmt: str = "yyyy-MM-dd HH:mm:ssxxx") -> DataFrame:
