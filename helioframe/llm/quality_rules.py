@@ -7,8 +7,10 @@ the share of each; a document's posterior probability of being good replaces an
 all-rules-must-pass filter.
 
 Scale: counts come from one map over the texts, written once with the votes. The
-patterns are at most 3 ** rules rows, pre-aggregated before their only shuffle, and
-each EM round is one aggregate over them. No document is shuffled.
+patterns are at most 3 ** rules rows, pre-aggregated before their only shuffle; the
+rounds run over those rows on the driver, so no plan is made anew for each round, and
+documents get their pattern's posterior by a broadcast of the same bound. No document is
+shuffled.
 
 Defined cases: a null text has no words; a text without words gets votes only from
 rules that need none, and fails the base rule; an empty table gives an empty result;
@@ -19,7 +21,7 @@ columns stay inside ``row`` and cannot clash.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import log
+from math import exp, fsum, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -165,30 +167,29 @@ def fit(patterns: DataFrame, names: list[str], rounds: int = ROUNDS) -> Model:
     good. The first round shares a document with bad votes among the kinds of those
     rules. ``patterns`` has one row for each pattern of votes and its ``count``.
     """
-    bad = sum((F.when(F.col(n) == BAD, 1).otherwise(0) for n in names), F.lit(0))
     kinds = range(len(names) + 1)
     model = Model([1 / len(kinds)] * len(kinds), {n: {v: [1 / 3] * len(kinds) for v in VOTES} for n in names})
-    shared = patterns.withColumn("bad", bad).withColumn("q0", F.when(F.col("bad") > 0, 0.05).otherwise(0.95))
-    for k, n in enumerate(names, 1):
-        mine = 0.95 * (F.col(n) == BAD).cast("double") / F.col("bad")
-        shared = shared.withColumn(f"q{k}", F.when(F.col("bad") > 0, mine).otherwise(0.05 / len(names)))
-    for _ in range(rounds):
-        votes = F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(n).alias("vote")) for n in names]))
-        long = shared.select(votes.alias("v"), *[(F.col(f"q{k}") * F.col("count")).alias(f"q{k}") for k in kinds])
-        found = {
-            (r["rule"], r["vote"]): [r[f"q{k}"] for k in kinds]
-            for r in long.groupBy("v.rule", "v.vote").agg(*[F.sum(f"q{k}").alias(f"q{k}") for k in kinds]).collect()
-        }  # at most three rows for each rule
-        if not found:
-            break
-        none = [0.0] * len(kinds)
-        sums = [sum(found.get((names[0], v), none)[k] for v in VOTES) for k in kinds]
+    # At most 3 ** 9 rows, however many documents there are.
+    known = [([r[n] for n in names], r["count"]) for r in patterns.select(*names, "count").collect()]
+    shared = []
+    for votes, _ in known:
+        bad = sum(v == BAD for v in votes)
+        others = [0.95 * (v == BAD) / bad if bad else 0.05 / len(names) for v in votes]
+        shared.append([0.05 if bad else 0.95, *others])
+    for _ in range(rounds if known else 0):
+        sums = [fsum(q[k] * n for q, (_, n) in zip(shared, known)) for k in kinds]
         model.priors = [(s + SMOOTHING) / (sum(sums) + SMOOTHING * len(sums)) for s in sums]
-        for n in names:
+        for i, name in enumerate(names):
             for v in VOTES:
-                mine = found.get((n, v), none)
-                model.rates[n][v] = [(mine[k] + SMOOTHING) / (sums[k] + 3 * SMOOTHING) for k in kinds]
-        shared = with_shares(patterns, names, model)
+                mine = [(q, n) for q, (votes, n) in zip(shared, known) if votes[i] == v]
+                model.rates[name][v] = [(fsum(q[k] * n for q, n in mine) + SMOOTHING) / (sums[k] + 3 * SMOOTHING) for k in kinds]
+        steps = [{v: [log(x) for x in model.rates[name][v]] for v in VOTES} for name in names]
+        start = [log(p) for p in model.priors]
+        for at, (votes, _) in enumerate(known):
+            logs = [start[k] + sum(step[v][k] for step, v in zip(steps, votes)) for k in kinds]
+            most = max(logs)
+            weights = [exp(x - most) for x in logs]
+            shared[at] = [w / sum(weights) for w in weights]
     return model
 
 
@@ -199,9 +200,10 @@ def assess(docs: DataFrame, text: str = "text", keep: list[str] | None = None, r
     names = list(votes)
     judged = stage(base_counts(docs, text, keep).select("*", *[v.alias(n) for n, v in votes.items()]), "votes")
     patterns = stage(judged.groupBy(*names).count(), "patterns")
-    model = fit(patterns, names, rounds)
+    # One posterior for each pattern; a pattern's documents get it by their votes.
+    weighed = with_shares(patterns, names, fit(patterns, names, rounds)).select(*names, F.col("q0").alias("quality"))
     return (
-        with_shares(judged, names, model).withColumnRenamed("q0", "quality").drop(*[f"q{k}" for k in range(1, len(names) + 1)])
+        judged.join(F.broadcast(weighed), names)
         .withColumn("base_failed", base_failed())
         .withColumn("kept", ~F.col("base_failed") & (F.col("quality") >= 0.5))
     )
