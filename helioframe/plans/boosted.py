@@ -64,6 +64,16 @@ def category_levels(frames: list[DataFrame], column: str) -> DataFrame:
     return stage(coded.withColumn("code", F.col("code").cast("double")), "levels")
 
 
+def _codes(rows: DataFrame, params: RunParams) -> int:
+    """Width of the group code: as asked, but no category without a row in either stage.
+
+    Spark ML refuses a category with more values than rows, so a handful of rows share codes.
+    """
+    large = F.count(F.when(F.col(params.target) > params.positive_threshold, 1))
+    n = rows.agg(F.count("*").alias("all"), large.alias("large")).first()
+    return max(1, min(params.group_codes, (n["large"] or n["all"]) - 1))
+
+
 def fit_hurdle(prepared: Prepared, params: RunParams, use_group: bool = True) -> FittedModel:
     """Two-stage model: is the target positive, and how large is it then.
 
@@ -75,7 +85,7 @@ def fit_hurdle(prepared: Prepared, params: RunParams, use_group: bool = True) ->
     if params.model == "lightgbm":
         rows = subsample(rows, prepared.keys, params.boost_sample_fraction, params.seed)
     nominal = GROUP_INDEX if GROUP_INDEX in features else None
-    codes = params.group_codes if nominal else 0
+    codes = _codes(rows, params) if nominal else 0
     bins = max(boost.max_bins, codes + 1)
     model = FittedModel(params.model, features, {}, params.positive_threshold, nominal, codes)
     if nominal:
