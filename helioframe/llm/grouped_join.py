@@ -137,13 +137,13 @@ def _bound(x: str, y: str, percent: int) -> Column:
 
 
 def _near(x: str, y: str, percent: int) -> Column:
-    """The same from one common element at places i and j of two sets, counted from 0.
+    """Whether an element at places i and j of two sets, from 0, can be the first common one of similar sets.
 
-    Common elements up to it are at most min(i, j) + 1, those behind it at most what
-    either set has left.
+    Then all common elements are among the last n - i and m - j. Every similar pair has a
+    first common element, so looking at no others loses nothing.
     """
-    n, m, i, j = F.col(f"{x}.n"), F.col(f"{y}.n"), F.col(f"{x}.pos"), F.col(f"{y}.pos")
-    most = F.least(i, j) + F.least(n - i, m - j)
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    most = F.least(n - F.col(f"{x}.pos"), m - F.col(f"{y}.pos"))
     return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (most * (100 + percent) >= (n + m) * percent)
 
 
@@ -162,7 +162,7 @@ def _with_centres(rows: DataFrame) -> DataFrame:
 
 
 def _stars(starred: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of every group with the centre of each of its elements that pass the bound."""
+    """Pairs of every group with the centre of each of its elements, as their first common one, that pass the bound."""
     meet = starred.select(F.struct("n", "pos").alias("x"), "centre", "id").where((F.col("id") != F.col("centre.id")) & _near("x", "centre", percent))
     pairs = meet.select(*_pair(F.col("id"), F.col("centre.id"))).distinct()
     lists = nodes.select("id", "n", "last", "list")
@@ -174,8 +174,8 @@ def _across(starred: DataFrame, nodes: DataFrame, spread: DataFrame, percent: in
     """Pairs of groups, not all of one component, that pass the bound; each in its first common element.
 
     ``spread`` holds the least and the greatest component among the members of a group
-    and whether it has several. Pairs with a centre were tested, unless one of them has
-    several members. Rows without a possible partner leave before prefixes are attached.
+    and whether it has several. In their first common element, pairs with its centre were
+    tested, unless one of them has several members. Rows without a possible partner leave before prefixes are attached.
     """
     held = starred.select("token", "id", "n", "pos", (F.col("id") == F.col("centre.id")).alias("central")).join(spread, "id")
     mixed = held.groupBy("token").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.count("*").alias("k"), F.max("many").alias("many"))
