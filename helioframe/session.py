@@ -61,8 +61,7 @@ def scratch_run(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         _runs.remove(folder)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -70,17 +69,40 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_runs[-1] if _runs else checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+# Removes the shuffle files of a query when it ends, instead of when the driver collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and continue from the written table.
 
     Cuts the lineage, survives lost executors, and fixes values such as
     partition ids that would differ in a second evaluation. Parquet keeps later
-    reads column-pruned.
+    reads column-pruned. Shuffle files of the write go when it is done, since
+    nothing but the written table is read after it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete tables of ``stage`` that no later step reads, neither directly nor through a plan made from them."""
+    for df in staged:
+        _delete(df.sparkSession, df.staged_at)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
