@@ -39,7 +39,7 @@ from helioframe.llm.batches import Words, mix, signed, slices, texts_of, windows
 from helioframe.llm.components import components
 from helioframe.llm.tensor_minhash import shingle_sets
 from helioframe.llm.vectors import as_lists, blocks, sum_blocks
-from helioframe.session import broadcast_if_small, stage
+from helioframe.session import broadcast_if_small, discard, stage
 
 SHINGLE = 5
 BUCKETS = 1 << 18
@@ -189,7 +189,9 @@ def _across(starred: DataFrame, nodes: DataFrame, spread: DataFrame, percent: in
     wide = stage(able.join(lists, ["id", "n"]), "apart")
     first = F.array_min(F.array_intersect("x.list", "y.list")) == F.col("x.token")
     pairs = wide.alias("x").join(wide.alias("y"), meet & (F.col("x.id") < F.col("y.id")) & _bound("x", "y", percent) & first)
-    return pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    pairs = stage(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "across")
+    discard(held, wide)
+    return pairs
 
 
 # --- full sets
@@ -206,12 +208,15 @@ def _full_sets(k: int):
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are as similar as asked."""
+    """The pairs whose full sets are as similar as asked, as a staged table."""
     ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids")
     sets = stage(texts.join(broadcast_if_small(ids), "id", "left_semi").mapInArrow(_full_sets(k), "id bigint, shingles array<bigint>"), "sets")
     both = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
     shared = F.size(F.array_intersect("left", "right"))
-    return both.where(shared * 100 >= (F.size("left") + F.size("right") - shared) * percent).select("a", "b").distinct()
+    near = both.where(shared * 100 >= (F.size("left") + F.size("right") - shared) * percent)
+    links = stage(near.select("a", "b").distinct(), "links")
+    discard(ids, sets)
+    return links
 
 
 # --- the operator
@@ -223,8 +228,9 @@ def similar_documents(
     """``id``, ``n_shingles`` and ``component_id`` (smallest id reachable), one row per row of ``docs``."""
     texts = docs.select(F.col(id).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     order = levels(texts, shingle, buckets)
-    signed_rows = stage(texts.mapInArrow(_prefixes(shingle, percent, order), _PREFIXES), "prefixes")
-    full = signed_rows.where("n > 0 AND id IS NOT NULL")
+    prefixes = stage(texts.mapInArrow(_prefixes(shingle, percent, order), _PREFIXES), "prefixes")
+    rows = stage(prefixes.select("id", "n", "h1", "h2"), "rows")
+    full = prefixes.where("n > 0 AND id IS NOT NULL")
 
     # Equal sets, then equal prefixes and sizes: the smallest id stands for them.
     classes = stage(full.groupBy("h1", "h2", "n", "g1", "g2").agg(F.min("id").alias("id")), "classes")
@@ -242,26 +248,28 @@ def similar_documents(
     )
     nodes = stage(nodes.withColumn("list", F.col("at.token")), "nodes")
     starred = stage(_with_centres(nodes.select("id", "n", "shared", F.inline("at"))), "tokens")
+    discard(prefixes)  # the rest reads ``rows``
 
     inside = members.where("id <> lead").select(*_pair(F.col("id"), F.col("lead")))
     tested = stage(_stars(starred, nodes, percent).union(inside).distinct(), "stars")
-    links = stage(_confirmed(tested, texts, shingle, percent), "links")
+    links = _confirmed(tested, texts, shingle, percent)
 
     labels = components(links).toDF("id", "c")
     everyone = members.union(nodes.select("id", "id")).distinct().toDF("lead", "id")
     everyone = stage(everyone.join(labels, "id", "left").select("lead", "id", F.coalesce("c", "id").alias("c")), "members")
     spread = everyone.groupBy("lead").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), (F.count("*") > 1).alias("many"))
     across = _across(starred, nodes, spread.withColumnRenamed("lead", "id"), percent)
+    discard(starred, nodes)
     one, two = everyone.toDF("a", "one", "c1"), everyone.toDF("b", "two", "c2")
     expanded = across.join(one, "a").join(two, "b").where("c1 <> c2").select(*_pair(F.col("one"), F.col("two")))
     alike = everyone.toDF("lead", "one", "c1").join(everyone.toDF("lead", "two", "c2"), "lead").where("c1 < c2")
     expanded = expanded.union(alike.select(*_pair(F.col("one"), F.col("two")))).distinct()
     rest = stage(expanded.join(tested, ["a", "b"], "left_anti"), "rest")
-    links = links.union(_confirmed(rest, texts, shingle, percent)).union(_of_one_id(full, classes))
+    links = links.union(_confirmed(rest, texts, shingle, percent)).union(_of_one_id(rows.where("n > 0 AND id IS NOT NULL"), classes))
     final = components(stage(links.distinct(), "links")).toDF("id", "c")
 
     known = classes.join(final, "id", "left").select("h1", "h2", "n", F.coalesce("c", "id").alias("c"))
-    out = signed_rows.select("id", "n", "h1", "h2").join(known, ["h1", "h2", "n"], "left")
+    out = rows.join(known, ["h1", "h2", "n"], "left")
     return out.select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("c", "id")).alias("component_id")
     )
