@@ -127,10 +127,12 @@ def _bound(x: str, y: str, percent: int) -> Column:
 
     Elements up to the smaller of the two last prefix elements are in both prefixes if
     they are common at all; behind it, the set with that last element has no more than
-    ``size - prefix`` left.
+    ``size - prefix`` left. Either may be that set where a last element is not known.
     """
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    left = F.when(F.col(f"{x}.last") <= F.col(f"{y}.last"), n - prefix_size(n, percent)).otherwise(m - prefix_size(m, percent))
+    behind, past = n - prefix_size(n, percent), m - prefix_size(m, percent)
+    before = F.col(f"{x}.last") <= F.col(f"{y}.last")
+    left = F.when(before, behind).when(~before, past).otherwise(F.greatest(behind, past))
     common = F.size(F.array_intersect(f"{x}.list", f"{y}.list"))
     fits = F.least(n, m) * 100 >= F.greatest(n, m) * percent
     return fits & ((common + left) * (100 + percent) >= (n + m) * percent)
@@ -188,6 +190,7 @@ def _across(starred: DataFrame, nodes: DataFrame, spread: DataFrame, percent: in
     lists = nodes.select("id", "n", "last", "list")
     wide = stage(able.join(lists, ["id", "n"]), "apart")
     first = F.array_min(F.array_intersect("x.list", "y.list")) == F.col("x.token")
+    first = first | F.col("x.last").isNull() | F.col("y.last").isNull()
     pairs = wide.alias("x").join(wide.alias("y"), meet & (F.col("x.id") < F.col("y.id")) & _bound("x", "y", percent) & first)
     pairs = stage(pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "across")
     discard(held, wide)
@@ -241,11 +244,14 @@ def similar_documents(
     others = full.select("id", "h1", "h2").distinct().join(leads, ["id", "h1", "h2"], "left_anti")
 
     held = full.join(broadcast_if_small(stage(others, "others")), ["id", "h1", "h2"], "left_anti")
-    tokens = held.select("id", "n", "last", F.posexplode("prefix").alias("pos", "token"))
+    tokens = held.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
     several = tokens.groupBy("token").agg(F.count("*").alias("k")).where("k > 1")
-    nodes = tokens.join(several, "token").groupBy("id", "n", "last").agg(
+    nodes = tokens.join(several, "token").groupBy("id", "n").agg(
         F.collect_list(F.struct("token", "pos")).alias("at"), F.sum("k").alias("shared")
     )
+    # Several texts of one id and one size are one node, whose last element is not known.
+    lasts = held.groupBy("id", "n").agg(F.when(F.min("last") == F.max("last"), F.min("last")).alias("last"))
+    nodes = nodes.join(lasts, ["id", "n"])
     nodes = stage(nodes.withColumn("list", F.col("at.token")), "nodes")
     starred = stage(_with_centres(nodes.select("id", "n", "shared", F.inline("at"))), "tokens")
     discard(prefixes)  # the rest reads ``rows``

@@ -82,3 +82,13 @@ def test_prefix_holds_a_shared_element():
         for n in range(1, 60):
             p = int(grouped_join.prefix_size(np.array([n]), percent)[0])
             assert 1 <= p <= n and n - p < -(-percent * n // 100) <= n - p + 1
+
+
+def test_texts_of_one_id_and_one_size(spark):
+    """Each text of an id finds its own partners, also where both are of one size."""
+    draw = random.Random(5)
+    bases = [[f"w{draw.randrange(10**6)}" for _ in range(60)] for _ in range(4)]
+    rows = [(7, " ".join(b)) for b in bases[:3]] + [(20 + i, " ".join([*b[:-1], f"end{i}"])) for i, b in enumerate(bases)]
+    rows += [(30 + i, " ".join([f"start{i}", *b[1:]])) for i, b in enumerate(bases)]
+    found = check(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert found[22] == found[30] == 7 and found[33] == 23
