@@ -9,13 +9,15 @@ forward-backward algorithm gives each piece's expected count in the words of a l
 Scale: the model is fitted on at most ``TRAIN_ROWS`` labelled documents (those of least
 id hash; a documented bound), through distinct words counted per language in one
 pre-aggregated shuffle. It has one number per piece and language and is broadcast.
-Scoring is one map over all texts, with a bounded cache of word scores.
+Scoring is one map over all texts, with a bounded cache of word scores. Words of more than
+``LATTICE`` bytes are summed in logs, block by block, with the sums of the last bytes
+carried along; their backward sums make each block anew, so memory stays near a block's.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0; a null
 language is not learned from; a null id counts as training data; equal posteriors give
-the language first in order; without training rows every text is ``und``; words over
-``LONGEST`` bytes are read in runs of that many; an empty table gives an empty result;
-other columns are not read.
+the language first in order; without training rows every text is ``und``; a word of any
+length is summed as a whole; an empty table gives an empty result; other columns are not
+read.
 """
 
 from __future__ import annotations
@@ -35,7 +37,8 @@ from helioframe.session import stage
 
 TRAIN_ROWS = 20_000
 ROUNDS = 3
-LONGEST = 48
+LATTICE = 32  # bytes; products of piece probabilities over more could leave the range of a double
+BLOCK = 4096  # bytes of a longer word whose arcs are held at once
 CACHE = 400_000  # words
 PART = 20_000  # words segmented together
 SMOOTHING = 0.1
@@ -66,7 +69,7 @@ def vocabulary(path: str) -> tuple[np.ndarray, np.ndarray, int, int, int]:
         if not body:
             bare = i
             continue
-        if "▁" in piece[1:] or len(body) > LONGEST:
+        if "▁" in piece[1:]:
             continue
         data = np.frombuffer(body, np.uint8)
         key = span_hash(prefix_hash(data), np.array([0]), np.array([len(data)]))[0]
@@ -138,33 +141,128 @@ class Lattice:
         return out
 
 
-def _runs(words: Words) -> tuple[np.ndarray, ...]:
-    """Words cut into runs of at most LONGEST bytes: start, end, whether a word opens, text."""
-    parts = (words.end - words.start + LONGEST - 1) // LONGEST
-    index = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-    start = np.repeat(words.start, parts) + index * LONGEST
-    end = np.minimum(start + LONGEST, np.repeat(words.end, parts))
-    return start, end, index == 0, np.repeat(words.doc, parts)
+class LongWord:
+    """The sums of ``Lattice`` in logs, for one word of any length.
+
+    Node 0 is the opening of the word, node 1 + b its first b bytes.
+    """
+
+    def __init__(self, data: np.ndarray, path: str):
+        self.data, self.sums, self.path = data, prefix_hash(data), path
+        self.longest, self.bare = vocabulary(path)[3:]
+
+    def arcs(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Nodes before and after, and the piece, of all arcs that end after bytes lo + 1 to hi, by end."""
+        keys, ids, first_byte, longest, _ = vocabulary(self.path)
+        ends = np.arange(lo + 1, hi + 1)
+        found = [(ends, ends + 1, first_byte + self.data[lo:hi].astype(np.int64))]
+        for width in range(1, min(hi, longest) + 1):
+            to = ends[ends >= width]
+            hashes = span_hash(self.sums, to - width, to)
+            tries = [(hashes, to, to - width + 1)]
+            if to[0] == width:
+                tries.append((mix(hashes[:1] ^ _START), to[:1], np.zeros(1, np.int64)))
+            for key, end, source in tries:
+                place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                hit = keys[place] == key
+                found.append((source[hit], end[hit] + 1, ids[place[hit]]))
+        source, target, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(target, kind="stable")
+        return source[order], target[order], piece[order]
+
+    def _blocks(self) -> list[tuple[int, int, int]]:
+        """Bytes lo to hi of each block, and the first node from which an arc can end in it."""
+        size = len(self.data)
+        return [(lo, min(lo + BLOCK, size), max(lo + 1 - self.longest, 0)) for lo in range(0, size, BLOCK)]
+
+    def _ahead(self, logs: np.ndarray, block: tuple[int, int, int], carry: np.ndarray, arcs: tuple) -> np.ndarray:
+        """Forward sums of the nodes from ``base``, of which ``carry`` holds those up to lo + 1."""
+        lo, hi, base = block
+        source, target, piece = arcs
+        sums = np.concatenate([carry, np.empty((hi - lo, logs.shape[1]))])
+        source, step = source - base, logs[piece]
+        cut = np.searchsorted(target, np.arange(lo + 2, hi + 3))
+        for i in range(hi - lo):
+            here = slice(cut[i], cut[i + 1])
+            sums[len(carry) + i] = np.logaddexp.reduce(sums[source[here]] + step[here], axis=0)
+        return sums
+
+    def _carries(self, logs: np.ndarray) -> list[np.ndarray]:
+        """Forward sums that each block starts from, and at last those of the end."""
+        out = [np.stack([np.zeros(logs.shape[1]), logs[self.bare]])]
+        blocks = self._blocks()
+        for n, block in enumerate(blocks):
+            sums = self._ahead(logs, block, out[-1], self.arcs(*block[:2]))
+            after = blocks[n + 1][2] if n + 1 < len(blocks) else block[1] + 1
+            out.append(sums[after - block[2] :])
+        return out
+
+    def score(self, logs: np.ndarray) -> np.ndarray:
+        """log probability for each language, from the logs of piece probabilities."""
+        return self._carries(logs)[-1][-1]
+
+    def expected(self, logs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Expected count of each piece in the word, which occurs ``counts`` times per language."""
+        carries, out = self._carries(logs), np.zeros_like(logs)
+        total = np.maximum(carries[-1][-1], -1e300)
+        after = np.zeros((1, logs.shape[1]))  # backward sums of the last nodes of a block
+        for block, carry in zip(reversed(self._blocks()), reversed(carries[:-1]), strict=True):
+            lo, hi, base = block
+            source, target, piece = arcs = self.arcs(lo, hi)
+            ahead = self._ahead(logs, block, carry, arcs)
+            sums = np.full_like(ahead, -np.inf)
+            sums[len(sums) - len(after) :] = after
+            source, target, step = source - base, target - base, logs[piece]
+            cut = np.searchsorted(target, np.arange(lo + 2, hi + 3) - base)
+            for i in range(hi - lo - 1, -1, -1):
+                here = slice(cut[i], cut[i + 1])
+                np.logaddexp.at(sums, source[here], sums[len(carry) + i] + step[here])
+            np.add.at(out, piece, np.exp(ahead[source] + step + sums[target] - total) * counts)
+            after = sums[: len(carry)]
+        out[self.bare] += np.exp(logs[self.bare] + after[1] - total) * counts
+        return out
+
+
+def _logs(p: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.log(p)
+
+
+def word_scores(data: np.ndarray, start: np.ndarray, end: np.ndarray, p: np.ndarray, path: str) -> np.ndarray:
+    """log probability of each word, whatever its length, for each language."""
+    out = np.full((len(start), p.shape[1]), -np.inf)
+    short = np.flatnonzero(end - start <= LATTICE)
+    out[short] = Lattice(data, start[short], end[short], np.ones(len(short), bool), path).scores(p)
+    logs = _logs(p)
+    # Longer words, and products that left the range of a double.
+    for i in np.flatnonzero((out < -650).any(1)) if p.shape[1] else ():
+        out[i] = LongWord(data[start[i] : end[i]], path).score(logs)
+    return out
 
 
-def _keys(words: Words, start: np.ndarray, end: np.ndarray, opens: np.ndarray) -> np.ndarray:
-    keys = span_hash(prefix_hash(words.data), start, end)
-    return np.where(opens, keys, mix(keys + _U(3)))
+def expected_pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray, p: np.ndarray, counts: np.ndarray, path: str) -> np.ndarray:
+    """Expected count of each piece in words that occur ``counts`` times per language."""
+    long = end - start > LATTICE
+    short = np.flatnonzero(~long)
+    out = Lattice(data, start[short], end[short], np.ones(len(short), bool), path).expected(p, counts[short])
+    logs = _logs(p)
+    for i in np.flatnonzero(long):
+        out += LongWord(data[start[i] : end[i]], path).expected(logs, counts[i])
+    return out
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct runs of a slice with their count for each language."""
+    """Distinct words of a slice with their count for each language."""
     for batch in slices(batches, "text"):
         words = Words(*texts_of(batch.column("text")))
-        start, end, opens, doc = _runs(words)
         lang = batch.column("lang").dictionary_encode()
-        code = lang.indices.to_numpy()[doc] if len(doc) else doc
-        key = mix(_keys(words, start, end, opens) + code.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
+        code = lang.indices.to_numpy()[words.doc] if len(words.doc) else words.doc
+        key = mix(words.hashes() + code.astype(np.uint64) * _U(0x9E3779B97F4A7C15))
         _, first, n = np.unique(key, return_index=True, return_counts=True)
-        text = [words.data[a:b].tobytes() for a, b in zip(start[first], end[first], strict=True)]
+        text = [words.data[a:b].tobytes() for a, b in zip(words.start[first], words.end[first], strict=True)]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(text, pa.binary()), pa.array(opens[first]), lang.dictionary.take(pa.array(code[first])), pa.array(n, pa.int64())],
-            names=["word", "opens", "lang", "n"],
+            [pa.array(text, pa.binary()), lang.dictionary.take(pa.array(code[first])), pa.array(n, pa.int64())],
+            names=["word", "lang", "n"],
         )
 
 
@@ -179,8 +277,7 @@ def _expected(held, path: str):
                 end = np.cumsum(size)
                 counts = np.array(part.column("n").to_pylist(), float).reshape(len(text), p.shape[1])
                 data = np.frombuffer(b"".join(text), np.uint8)
-                opens = part.column("opens").to_numpy(zero_copy_only=False)
-                total += Lattice(data, end - size, end, opens, path).expected(p, counts)
+                total += expected_pieces(data, end - size, end, p, counts, path)
         piece, lang = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(piece.astype(np.int32)), pa.array(lang.astype(np.int32)), pa.array(total[piece, lang])],
@@ -204,10 +301,10 @@ def fit(docs: DataFrame, path: str, rounds: int = ROUNDS, rows: int = TRAIN_ROWS
     if not langs:
         return [], np.zeros(0), np.zeros((size, 0))
     counted = sample.repartition(spark.sparkContext.defaultParallelism).mapInArrow(
-        _word_counts, "word binary, opens boolean, lang string, n bigint"
+        _word_counts, "word binary, lang string, n bigint"
     )
     per_lang = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).cast("double") for x in langs]
-    words = stage(counted.groupBy("word", "opens").agg(F.array(*per_lang).alias("n")), "words")
+    words = stage(counted.groupBy("word").agg(F.array(*per_lang).alias("n")), "words")
     words = words.repartition(spark.sparkContext.defaultParallelism)
     p = np.full((size, len(langs)), 1.0 / size)
     for _ in range(rounds):
@@ -228,8 +325,7 @@ def _predict(held, path: str):
         known, values = np.zeros(0, np.uint64), np.zeros((0, len(langs)), np.float32)
         for batch in slices(batches, "text"):
             words = Words(*texts_of(batch.column("text")))
-            start, end, opens, doc = _runs(words)
-            keys, first, inverse = np.unique(_keys(words, start, end, opens), return_index=True, return_inverse=True)
+            keys, first, inverse = np.unique(words.hashes(), return_index=True, return_inverse=True)
             if len(known) > CACHE:
                 known, values = known[:0], values[:0]
             fresh = ~np.isin(keys, known, assume_unique=True)
@@ -237,13 +333,13 @@ def _predict(held, path: str):
             parts = [values]
             for at in range(0, len(new), PART):
                 rows = first[new[at : at + PART]]
-                parts.append(Lattice(words.data, start[rows], end[rows], opens[rows], path).scores(p).astype(np.float32))
+                parts.append(word_scores(words.data, words.start[rows], words.end[rows], p, path).astype(np.float32))
             both = np.concatenate([known, keys[new]])
             order = np.argsort(both)
             known, values = both[order], np.concatenate(parts)[order]
             score = values[np.searchsorted(known, keys)]
             logs = np.stack(
-                [np.bincount(doc, score[inverse, j], batch.num_rows) for j in range(len(langs))], 1
+                [np.bincount(words.doc, score[inverse, j], batch.num_rows) for j in range(len(langs))], 1
             ).reshape(batch.num_rows, len(langs)) + prior if len(langs) else np.zeros((batch.num_rows, 0))
             letters = batch.column("letters").to_numpy(zero_copy_only=False)
             if len(langs):
