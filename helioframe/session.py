@@ -36,7 +36,8 @@ def local_session(cores: str = "8", app: str = "helioframe") -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting, a folder below the warehouse, which all executors share too.
+    Without that setting, a folder below the warehouse in local mode; on a cluster, whose
+    executors need not share the warehouse's file system, an error.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -44,6 +45,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     context.setCheckpointDir(folder)
     return context.getCheckpointDir()
