@@ -24,10 +24,16 @@ from helioframe.sources.tables import (
 FILE_COLUMNS = ("row_id", "temp_a", "temp_b", "wind_spd_a", "pressure", "uv_idx")
 
 
-def offset_text(df: DataFrame, time: str = "time") -> DataFrame:
-    """Observation times as text with an offset, whatever the session zone is."""
-    text = F.concat(F.substring(F.col(time).cast("string"), 1, 19), F.lit("+00:00"))
-    return df.withColumn(time, text)
+def offset_text(df: DataFrame, time: str = "time", whole_seconds: bool = False) -> DataFrame:
+    """Observation times as text with an offset, whatever the session zone is.
+
+    Fractions of a second stay: a plant can have two observations in one second, and
+    their keys must differ. ``whole_seconds`` cuts them off.
+    """
+    text = F.col(time).cast("string")
+    if whole_seconds:
+        text = F.substring(text, 1, 19)
+    return df.withColumn(time, F.concat(text, F.lit("+00:00")))
 
 
 def write_trio(spark: SparkSession, sf_dir: str) -> str:
@@ -135,7 +141,7 @@ def s1_rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def s2_plain_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "plain")
-    obs = offset_text(view(spark, sf_dir, "obs")).select("row_id", "time", "pv_id", "temp_b")
+    obs = offset_text(view(spark, sf_dir, "obs"), whole_seconds=True).select("row_id", "time", "pv_id", "temp_b")
     write_delivery(obs, path)
     plain = read_plain(spark, path)
     return plain.select(

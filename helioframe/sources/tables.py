@@ -160,15 +160,20 @@ def read_predictions(spark: SparkSession, paths: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames).withColumn("time", parse_time(F.col("time")))
 
 
-def time_text(df: DataFrame, time: str = "time", fmt: str = "yyyy-MM-dd HH:mm:ssxxx") -> DataFrame:
-    return df.withColumn(time, F.date_format(time, fmt))
+def time_text(df: DataFrame, time: str = "time", fmt: str | None = None) -> DataFrame:
+    """Times as text; by default with an offset, and with the fraction of a second where there is one."""
+    if fmt is not None:
+        return df.withColumn(time, F.date_format(time, fmt))
+    whole = F.date_format(time, "SSSSSS") == "000000"
+    text = F.when(whole, F.date_format(time, "yyyy-MM-dd HH:mm:ssxxx"))
+    return df.withColumn(time, text.otherwise(F.date_format(time, "yyyy-MM-dd HH:mm:ss.SSSSSSxxx")))
 
 
 def write_delivery(
     df: DataFrame,
     path: str,
     time: str | None = "time",
-    fmt: str = "yyyy-MM-dd HH:mm:ssxxx",
+    fmt: str | None = None,
     single_file: bool = False,
     index: list[str] | None = None,
 ) -> None:

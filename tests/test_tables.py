@@ -10,7 +10,8 @@ from helioframe.operators.ensemble import ensemble_aligned, ensemble_mean, stack
 from helioframe.operators.profile import corr_matrix, describe, histogram, quantiles
 from helioframe.operators.runs import best_runs, early_stop, training_progress
 from helioframe.operators.submit import fill_template
-from helioframe.sources.tables import read_panel, read_predictions, write_delivery
+from helioframe.catalog.sources import FILE_COLUMNS, write_trio
+from helioframe.sources.tables import SUBMISSION_SCHEMA, read_panel, read_predictions, read_trio, write_delivery
 
 KEYS = "time string, pv_id string, type string"
 
@@ -137,3 +138,19 @@ def test_delivery_round_trip(spark, frame, tmp_path):
     both = read_predictions(spark, [path, str(tmp_path / "m2.csv")])
     assert {r["model"] for r in both.collect()} == {"m1", "m2"}
     assert both.select("time").distinct().count() == 1
+
+
+def test_observations_of_one_second_stay_apart(spark, frame, tmp_path):
+    """Two observations of one plant in one second have different keys, in the inputs and in the delivery."""
+    events = spark.sql("""SELECT * FROM VALUES
+        (0L, timestamp_ntz'2024-01-01 10:49:26.417201', 5L, 1D), (1L, timestamp_ntz'2024-01-01 10:49:26.476071', 5L, 2D),
+        (2L, timestamp_ntz'2024-01-01 10:49:27', 5L, 3D) AS t(event_id, ts, user_id, value)""")
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    raw = read_trio(spark, write_trio(spark, str(tmp_path)), FILE_COLUMNS)
+    out = fill_template(raw.template, raw.test)
+    assert sorted(r["nins"] for r in out.filter("year(time) = 2024").collect()) == [0.0, 2.0, 3.0]
+    write_delivery(out, str(tmp_path / "sent.csv"))
+    back = read_panel(spark, str(tmp_path / "sent.csv"), SUBMISSION_SCHEMA)
+    assert back.exceptAll(out.select(*back.columns)).isEmpty() and back.select("time").distinct().count() == out.count()
+    texts = {r[0] for r in spark.read.option("header", True).csv(str(tmp_path / "sent.csv")).select("time").collect()}
+    assert "2024-01-01 10:49:27+00:00" in texts and "2024-01-01 10:49:26.417201+00:00" in texts
