@@ -26,11 +26,13 @@ def key_hash(seed: int, *keys: str, nulls: bool = False) -> Column:
     return F.md5(F.concat(*parts))
 
 
-def _walk(counts: DataFrame, k: int | None, size: Callable[[int], int]) -> tuple[str, int, int]:
-    """Bucket of the k-th value: (bucket, rank inside it, rows in it)."""
+def _walk(counts: DataFrame, k: int | None, size: Callable[[int], int]) -> tuple[str, int, int] | None:
+    """Bucket of the k-th value: (bucket, rank inside it, rows in it); None without a k-th value."""
     rows = sorted((r["b"], r["n"]) for r in counts.collect())  # at most _BUCKETS rows
     if k is None:
         k = size(sum(n for _, n in rows))
+        if not rows or k < 1:
+            return None
     for bucket, n in rows:
         if k <= n:
             return bucket, k, n
@@ -38,9 +40,11 @@ def _walk(counts: DataFrame, k: int | None, size: Callable[[int], int]) -> tuple
     raise ValueError("fewer values than the wanted rank")
 
 
-def nth_hash(hashes: DataFrame, size: Callable[[int], int]) -> str:
+def nth_hash(hashes: DataFrame, size: Callable[[int], int]) -> str | None:
     """The k-th smallest value of column ``_h``, where k = size(number of values).
 
+    None without values or when k is less than 1.
+
     Exact. Each level is one narrow pass that counts values by the next three hex
     digits, which combines to at most 4096 rows per task before the shuffle, and
     descends into the bucket of the k-th value. MD5 spreads distinct keys evenly,
@@ -52,7 +56,10 @@ def nth_hash(hashes: DataFrame, size: Callable[[int], int]) -> str:
         inside = hashes.filter(F.col("_h").startswith(prefix)) if prefix else hashes
         digits = F.substring("_h", len(prefix) + 1, _DIGITS).alias("b")
         counts = inside.groupBy(digits).agg(F.count(F.lit(1)).alias("n"))
-        digit, k, left = _walk(counts, k, size)
+        found = _walk(counts, k, size)
+        if found is None:
+            return None
+        digit, k, left = found
         prefix += digit
     rest = hashes.filter(F.col("_h").startswith(prefix)).groupBy(F.col("_h").alias("b"))
     return _walk(rest.agg(F.count(F.lit(1)).alias("n")), k, size)[0]
@@ -100,10 +107,8 @@ def split_by_group(
 
 def _first(hashes: DataFrame, own: Column, size: Callable[[int], int]) -> Column:
     """Whether a row is among the first size(n) of ``hashes``."""
-    total = hashes.count()
-    if total == 0 or size(total) < 1:
-        return F.lit(False)
-    return own <= F.lit(nth_hash(hashes, size))
+    cut = nth_hash(hashes, size)
+    return F.lit(False) if cut is None else own <= F.lit(cut)
 
 
 def label_rows(

@@ -69,9 +69,9 @@ def _codes(rows: DataFrame, params: RunParams) -> int:
 
     Spark ML refuses a category with more values than rows, so a handful of rows share codes.
     """
-    large = F.count(F.when(F.col(params.target) > params.positive_threshold, 1))
-    n = rows.agg(F.count("*").alias("all"), large.alias("large")).first()
-    return max(1, min(params.group_codes, (n["large"] or n["all"]) - 1))
+    enough = params.group_codes + 1  # no row beyond that changes the width
+    large = positives(rows, params.target, params.positive_threshold).limit(enough).count()
+    return max(1, min(params.group_codes, (large or rows.limit(enough).count()) - 1))
 
 
 def fit_hurdle(prepared: Prepared, params: RunParams, use_group: bool = True) -> FittedModel:
@@ -91,10 +91,11 @@ def fit_hurdle(prepared: Prepared, params: RunParams, use_group: bool = True) ->
     if nominal:
         model.levels = group_levels(prepared.vocabulary, params.group)
 
-    # Features and target once, on disk: both stages and every round start here.
+    # Features and target once, on disk and as far as it goes in memory: both stages and
+    # every round start here, and a round reads its rows several times.
     y, t = params.target, params.positive_threshold
-    train = stage(model.encode(rows).select("_x", y), "fit-train")
-    val = stage(model.encode(prepared.val).select("_x", y), "fit-val")
+    train = stage(model.encode(rows).select("_x", y), "fit-train").persist()
+    val = stage(model.encode(prepared.val).select("_x", y), "fit-val").persist()
     label = positive_label(F.col(y), t)
     held = None if val.isEmpty() else val
     model.parts["classifier"], kept, history = fit_positive_classifier(
@@ -116,6 +117,8 @@ def fit_hurdle(prepared: Prepared, params: RunParams, use_group: bool = True) ->
             large, held_large, boost, params.seed, bins
         )
         model.info |= {"regressor_rounds": kept, "regressor_losses": history}
+    train.unpersist()
+    val.unpersist()
     return model
 
 

@@ -123,3 +123,12 @@ def test_plan_has_one_shuffle_and_one_window(frame, capsys):
     ranges.fill_both_ways(ranges.as_series(df, ["g"], ["t", "tb"]), ["v", "w"]).explain()
     plan = capsys.readouterr().out
     assert plan.count("Exchange") == 1 and plan.count("Window [") == 1 and plan.count("Sort [") == 1
+
+
+def test_columns_with_a_gap_are_known_from_the_group_counts(frame):
+    """Preparation fills only columns that have a null somewhere; NaN is a value."""
+    df = frame([("a", 1.0, None, math.nan), ("b", 2.0, 1.0, 1.0), (None, 3.0, 1.0, 1.0)], "g string, u double, v double, w double")
+    sizes = ranges.group_sizes(df, ["g"], ["u", "v", "w"])
+    assert ranges.with_gaps(sizes, ["u", "v", "w"]) == ["v"]
+    assert {r["g"]: r["_rows"] for r in sizes.collect()} == {"a": 1, "b": 1, None: 1}
+    assert ranges.with_gaps(ranges.group_sizes(df.limit(0), ["g"], ["u"]), ["u"]) == []

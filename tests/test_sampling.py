@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helioframe.operators.filters import non_members, require_groups
-from helioframe.operators.sampling import label_groups, label_rows, split_by_group, subsample
+from helioframe.operators.sampling import label_groups, label_rows, nth_hash, split_by_group, subsample
 
 
 def _groups(spark, n, copies=3):
@@ -55,3 +55,10 @@ def test_subsample_size(spark, n, fraction, size):
 def test_split_is_a_filter_without_a_join(spark, capsys):
     label_groups(_groups(spark, 10), "g", 0.2, 1).explain()
     assert "Join" not in capsys.readouterr().out
+
+
+def test_no_values_have_no_nth_hash(frame):
+    """The size of a sample comes from the first count, so there is no pass that only counts."""
+    assert nth_hash(frame([], "_h string"), lambda n: 1) is None
+    assert nth_hash(frame([("00",), ("ff",)], "_h string"), lambda n: 0) is None
+    assert nth_hash(frame([("00",), ("ff",)], "_h string"), lambda n: n) == "ff"
