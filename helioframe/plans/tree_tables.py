@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NODE_SCHEMA = (
@@ -55,6 +55,16 @@ def forest_rows(spark: SparkSession, model) -> DataFrame:
     return spark.createDataFrame(rows, NODE_SCHEMA)
 
 
+def _mask(categories: str) -> Column:
+    """Text whose character ``i`` is 1 if category ``i`` is listed.
+
+    Looking a category up there is one call, a search of the list is a loop inside the
+    generated code of all levels, which is too long to be compiled by the JVM.
+    """
+    every = F.sequence(F.lit(0), F.array_max(categories).cast("int"))
+    return F.concat_ws("", F.transform(every, lambda i: F.array_contains(categories, i.cast("double")).cast("int").cast("string")))
+
+
 def score_nodes(df: DataFrame, keys: list[str], features: str, nodes: DataFrame, name: str = "margin") -> DataFrame:
     """``keys`` and the weighted sum of all trees, by walking the node rows with joins.
 
@@ -70,13 +80,13 @@ def score_nodes(df: DataFrame, keys: list[str], features: str, nodes: DataFrame,
     trees = nodes.agg(F.max("tree").alias("last")).first()["last"]
     state = df.select(*keys, F.col(features).alias("_at"), F.explode(F.sequence(F.lit(0), F.lit(trees))).alias("tree"))
     state = state.withColumn("node", F.lit(0))
-    known = F.broadcast(nodes)
+    known = F.broadcast(nodes.withColumn("_mask", _mask("categories")).drop("categories"))
     for _ in range(depth):
         met = state.join(known, ["tree", "node"])
         asked = F.get("_at", F.col("feature"))
-        left = F.when(F.col("threshold").isNotNull(), (asked <= F.col("threshold")) & ~F.isnan(asked)).otherwise(
-            F.array_contains("categories", asked)
-        )
+        code = asked.try_cast("int")  # null for NaN
+        listed = (code >= 0) & (code == asked) & (F.substring(F.col("_mask"), code + 1, F.lit(1)) == "1")
+        left = F.when(F.col("threshold").isNotNull(), (asked <= F.col("threshold")) & ~F.isnan(asked)).otherwise(listed)
         to = F.when(F.col("left").isNull(), F.col("node")).when(left, F.col("left")).otherwise(F.col("right"))
         state = met.select(*keys, "_at", "tree", to.alias("node"))
     leaves = state.join(known, ["tree", "node"])

@@ -14,7 +14,7 @@ from helioframe.plans.boosted import fit_hurdle
 from helioframe.plans.boosting import leaf_medians
 from helioframe.plans.models import FittedModel, load_model
 from helioframe.plans.store import ModelStore
-from helioframe.plans.tree_tables import tree_nodes
+from helioframe.plans.tree_tables import NODE_SCHEMA, score_nodes, tree_nodes
 from helioframe.sources.artifacts import save_description
 from helioframe.sources.tables import read_panel, read_plain, read_with_rejects
 
@@ -116,3 +116,18 @@ def test_a_save_that_is_cut_short_leaves_the_model_before(spark, tmp_path, monke
     later.save(path, spark)
     assert load_model(spark, path).features == ["a", "b"]
     save_description(spark, str(tmp_path / "n"), {"version": "x"})
+
+
+def test_walk_looks_categories_up_without_a_loop_per_row(spark, capsys):
+    """Odd codes go right as a search of the list says; no list is searched for a scored row."""
+    nodes = spark.createDataFrame([
+        (0, 1.0, 0, 0, None, [0.0, 3.0], 1, 2, None), (0, 1.0, 1, 1, 0.5, None, 3, 4, None),
+        (0, 1.0, 2, None, None, None, None, None, 100.0), (0, 1.0, 3, None, None, None, None, None, 1.0),
+        (0, 1.0, 4, None, None, None, None, None, 2.0), (1, 0.5, 0, None, None, None, None, None, 8.0)], NODE_SCHEMA)
+    nan = float("nan")
+    asked = [(3.0, 0.5), (0.0, 0.6), (0.0, nan), (1.0, 0.0), (3.5, 0.0), (nan, 0.0), (-1.0, 0.0), (99.0, 0.0)]
+    rows = spark.createDataFrame([(i, list(a)) for i, a in enumerate(asked)], "id int, at array<double>")
+    out = score_nodes(rows, ["id"], "at", nodes)
+    assert {r["id"]: r["margin"] for r in out.collect()} == dict(enumerate([5.0, 6.0, 6.0, 104.0, 104.0, 104.0, 104.0, 104.0]))
+    out.explain(True)
+    assert not any("array_contains" in line and "_at" in line for line in capsys.readouterr().out.split("\n"))
