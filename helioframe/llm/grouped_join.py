@@ -245,7 +245,8 @@ def similar_documents(
 
     held = full.join(broadcast_if_small(stage(others, "others")), ["id", "h1", "h2"], "left_anti")
     tokens = held.select("id", "n", F.posexplode("prefix").alias("pos", "token"))
-    several = tokens.groupBy("token").agg(F.count("*").alias("k")).where("k > 1")
+    # Written apart, so that the shuffle of the count is gone when that of the elements is made.
+    several = stage(tokens.groupBy("token").agg(F.count("*").alias("k")).where("k > 1"), "several")
     nodes = tokens.join(several, "token").groupBy("id", "n").agg(
         F.collect_list(F.struct("token", "pos")).alias("at"), F.sum("k").alias("shared")
     )
@@ -254,7 +255,7 @@ def similar_documents(
     nodes = nodes.join(lasts, ["id", "n"])
     nodes = stage(nodes.withColumn("list", F.col("at.token")), "nodes")
     starred = stage(_with_centres(nodes.select("id", "n", "shared", F.inline("at"))), "tokens")
-    discard(prefixes)  # the rest reads ``rows``
+    discard(prefixes, several)  # the rest reads ``rows``
 
     inside = members.where("id <> lead").select(*_pair(F.col("id"), F.col("lead")))
     tested = stage(_stars(starred, nodes, percent).union(inside).distinct(), "stars")

@@ -92,3 +92,17 @@ def test_texts_of_one_id_and_one_size(spark):
     rows += [(30 + i, " ".join([f"start{i}", *b[1:]])) for i, b in enumerate(bases)]
     found = check(spark.createDataFrame(rows, "doc_id bigint, text string"))
     assert found[22] == found[30] == 7 and found[33] == 23
+
+
+def test_elements_are_counted_before_they_are_shuffled(spark, monkeypatch):
+    """The shuffle of the count and that of the elements are never on disk together."""
+    plans = {}
+
+    def staged(df, label="stage", keep=grouped_join.stage):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return keep(df, label)
+
+    monkeypatch.setattr(grouped_join, "stage", staged)
+    df = spark.createDataFrame([(i, f"a b c d e f g h i j {i // 2}") for i in range(8)], "doc_id bigint, text string")
+    assert grouped_join.similar_documents(df).count() == 8
+    assert "Aggregate [token" in plans["several"] and "Aggregate [token" not in plans["nodes"]
