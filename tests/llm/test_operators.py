@@ -371,6 +371,24 @@ def check_components(df, k):
     assert sorted((r.id or -1, r.n_shingles) for r in got) == sorted((i or -1, size[t]) for i, t in rows)
 
 
+def test_passages_drop_single_seeds_before_places(spark, monkeypatch):
+    """Only places of seeds that occur twice go on, and nothing but paths is left of them."""
+    seen = {}
+
+    def staged(df, label="stage", keep=collinear_chains.stage):
+        out = keep(df, label)
+        seen[label] = {r.seed: r["count"] for r in out.groupBy("seed").count().collect()} if "seed" in out.columns else None
+        return out
+
+    monkeypatch.setattr(collinear_chains, "stage", staged)
+    draw = random.Random(4)
+    passage = [f"p{i}" for i in range(70)]
+    rows = [(i, " ".join([*(f"w{draw.randrange(10**9)}" for _ in range(200)), *passage])) for i in range(3)]
+    got = collinear_chains.fuzzy_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {(r.id, r.source) for r in got} == {(1, 0), (2, 0), (2, 1)}
+    assert set(seen["places"]) == set(seen["repeated"]) and set(seen["places"].values()) == {3} and len(seen["places"]) < 70
+
+
 def test_an_id_with_two_texts_links_both(spark):
     draw = random.Random(9)
     x, y, z = ([f"w{draw.randrange(10**6)}" for _ in range(60)] for _ in range(3))
