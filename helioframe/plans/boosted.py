@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,11 +92,11 @@ def fit_hurdle(prepared: Prepared, params: RunParams, use_group: bool = True) ->
     if nominal:
         model.levels = group_levels(prepared.vocabulary, params.group)
 
-    # Features and target once, on disk and as far as it goes in memory: both stages and
-    # every round start here, and a round reads its rows several times.
+    # Features and target once: both stages and every round start here, and a round reads its
+    # rows several times. They are kept on local disks; in memory they fill the heap of large fits.
     y, t = params.target, params.positive_threshold
-    train = stage(model.encode(rows).select("_x", y), "fit-train").persist()
-    val = stage(model.encode(prepared.val).select("_x", y), "fit-val").persist()
+    train = stage(model.encode(rows).select("_x", y), "fit-train").persist(StorageLevel.DISK_ONLY)
+    val = stage(model.encode(prepared.val).select("_x", y), "fit-val").persist(StorageLevel.DISK_ONLY)
     label = positive_label(F.col(y), t)
     held = None if val.isEmpty() else val
     model.parts["classifier"], kept, history = fit_positive_classifier(
