@@ -1,28 +1,38 @@
-"""Main text of web pages: element roles first, a suffix array over each host for the rest.
-
-A page is read as blocks of text. Blocks inside an article (or main) element are its
-text; blocks of elements whose role is navigation, advert, form, comment and the like
-are not. What neither decides (a page without an article element) goes as token streams
-to the suffix array of its host: substrings of ``RUN`` tokens or more that occur on two
-distinct pages are boilerplate, and the unique runs that remain are kept. Pages of one host
-whose blocks are all equal count as one page here, so copies keep their text. The array
-alone would keep unique adverts and drop article passages that two pages share, so it
-does not overrule a known role.
-
-Scale: pages are mapped once. A host may hold a third of all pages, so its streams are
-not collected: the windows of a stream go, as short contexts, to the task of their host
-and anchor (the token trigram of least hash), and equal contexts are counted before that
-shuffle. Each task sorts the suffixes of its contexts. Equal windows have equal anchors,
-so no repeat is missed.
+"""Main text of web pages: a suffix array over each host, and element roles.
+
+A page is read as blocks of text. Blocks of elements whose role is navigation, advert,
+form, comment and the like are not text; blocks inside an article (or main) element are,
+and where a page has one, blocks outside it are not. The token streams of what is left of
+every page go to the suffix array of its host, which decides which of it is boilerplate:
+
+* Inside an article, a substring of ``RUN`` tokens that stands in the articles of more than
+  half of the host's distinct pages is the host's template (a notice, a pitch), and a block
+  that such substrings cover leaves. Fewer pages do not count: near copies and common lines
+  share passages that are their text. A host needs ``TEMPLATE_PAGES`` distinct pages.
+* On a page without an article element roles say nothing for a block, so substrings of
+  ``RUN`` tokens that occur on two distinct pages of that kind are boilerplate, and the
+  unique runs that remain are kept.
+
+Pages of one host whose blocks are all equal count as one page here, so copies keep their
+text.
+
+Scale: a host may hold a third of all pages, so its streams are not collected: the windows
+of a stream go, as short contexts, to the task of their host and anchor (the token trigram
+of least hash), and equal contexts are counted before that shuffle. Each task sorts the
+suffixes of its contexts. Equal windows have equal anchors, so no repeat is missed. Of
+articles, anchors alone are counted first, eight bytes each; only contexts whose anchor
+stands on enough pages for a template are made of places. Articles are parsed three times
+rather than kept on disk.
 
 Defined cases: a null or empty page has an empty text; a null url counts as one host;
-rows with equal page ids count as one page, a null id as page -1; markup cut off at the
-end of a page ends there; an empty table gives an empty result; other columns are not
-read.
+rows with equal page ids and no article count as one page, a null id as page -1; markup cut
+off at the end of a page ends there; an empty table gives an empty result; other columns are
+not read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from collections.abc import Iterator
@@ -32,12 +42,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helioframe.llm.batches import prefix_hash, signed, span_hash, windows
-from helioframe.session import stage
+from helioframe.llm.batches import prefix_hash, signed, slices, span_hash, windows
+from helioframe.session import broadcast_if_small, discard, stage
 
 RUN = 8  # tokens
 ANCHOR = 3
 CONTEXTS = 20_000  # sorted together, in whole anchors
+TEMPLATE_PAGES = 10  # distinct pages of a host, below which more than half of them says little
+PAGES = 500  # parsed together
 _U = np.uint64
 
 # Element names of the HTML standard by their part in a page.
@@ -115,47 +127,94 @@ def blocks_of(page: str | None) -> tuple[list[str], bool]:
     return [t for t, c in found if c or not sure], sure
 
 
-def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _key(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text number of every token; the texts are not empty and single spaces part their tokens."""
+    data = np.frombuffer(" ".join(texts).encode(), np.uint8)
+    if not len(texts):
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    spaces = np.flatnonzero(data == ord(" "))
+    start, end = np.append(0, spaces + 1), np.append(spaces, len(data))
+    return span_hash(prefix_hash(data), start, end), np.repeat(np.arange(len(texts)), [t.count(" ") + 1 for t in texts])
+
+
+def _anchors(tokens: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the anchors of all windows, with the first and past the last token of the windows of each."""
+    n = len(tokens) - RUN + 1
+    if n <= 0:
+        return (np.zeros(0, np.int64),) * 3
+    inside = np.lib.stride_tricks.sliding_window_view(windows(tokens, ANCHOR), RUN - ANCHOR + 1)
+    whole = np.flatnonzero(text[:n] == text[RUN - 1 :])
+    at = inside[whole].argmin(1) + whole
+    new = np.flatnonzero(np.append(True, at[1:] != at[:-1])) if len(at) else whole
+    last = np.append(new[1:], len(at)) - 1 if len(at) else whole
+    return at[new], whole[new], whole[last] + RUN
+
+
+def _surveyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct anchors of a page with an article; row and blocks of another."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
+        for first in range(0, batch.num_rows, PAGES):
+            part = batch.slice(first, PAGES)
             both = [blocks_of(t) for t in part.column("html").to_pylist()]
+            texts = [t for b, sure in both if sure for t in b]
+            page = np.repeat(np.arange(len(both)), [len(b) if sure else 0 for b, sure in both])
+            tokens, text = _tokens(texts)
+            at, start, _ = _anchors(tokens, text)
+            grams = windows(tokens, ANCHOR)
+            pairs = np.unique(np.stack([page[text[start]].astype(np.uint64), grams[at]]), axis=1) if len(at) else np.zeros((2, 0), np.uint64)
+            ends = np.searchsorted(pairs[0], np.arange(len(both) + 1, dtype=np.uint64))
             yield pa.RecordBatch.from_arrays(
-                [part.column("row"), part.column("page"), part.column("host"),
-                 pa.array([b for b, _ in both], pa.list_(pa.string())), pa.array([s for _, s in both])],
-                names=["row", "page", "host", "blocks", "sure"],
+                [part.column("row").take(pa.array([None if sure else i for i, (_, sure) in enumerate(both)], pa.int64())),
+                 part.column("page"), part.column("host"), pa.array([None if sure else b for b, sure in both], pa.list_(pa.string())),
+                 pa.array([sure for _, sure in both]), pa.array([_key("\n\n".join(b)) for b, _ in both], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed(pairs[1])))],
+                names=["row", "page", "host", "blocks", "sure", "body", "anchors"],
             )
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Windows of one anchor as one run of token hashes, for each block."""
+def _context_rows(texts: list[str]) -> tuple[np.ndarray, list[pa.Array]]:
+    """Windows of one anchor as one run of token hashes: text number, then a, c, s and tokens of each run."""
+    tokens, text = _tokens(texts)
+    at, start, past = _anchors(tokens, text)
+    runs = span_hash(prefix_hash(tokens.astype("<u8").view(np.uint8)), start * 8, past * 8) if len(at) else np.zeros(0, np.uint64)
+    ends = np.append(0, np.cumsum(past - start))
+    flat = np.arange(ends[-1]) + np.repeat(start - ends[:-1], past - start)
+    place = start - np.searchsorted(text, text[start])
+    return text[start], [
+        pa.array(signed(windows(tokens, ANCHOR)[at])), pa.array(signed(runs)), pa.array(place.astype(np.int32)),
+        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(signed(tokens[flat]))),
+    ]
+
+
+def _article_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts of the blocks of pages with an article; a block goes by its hash."""
     for batch in batches:
-        rows: list[tuple] = []
-        for host, page, body, block, text in zip(*(batch.column(c).to_pylist() for c in ("host", "page", "body", "block", "text")), strict=True):
-            tokens = _token_hashes(text)
-            if len(tokens) < RUN:
-                continue
-            grams = windows(tokens, ANCHOR)
-            inside = np.lib.stride_tricks.sliding_window_view(grams, RUN - ANCHOR + 1)
-            at = inside.argmin(1) + np.arange(len(inside))
-            first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
-            past = np.append(first[1:], len(at)) + RUN - 1
-            for s, e in zip(first, past, strict=True):
-                run = tokens[s:e]
-                rows.append((host, signed(grams[at[s] : at[s] + 1])[0], signed(windows(run, len(run)))[0], page, body, block, int(s), signed(run)))
-        columns = list(zip(*rows, strict=True)) if rows else [[]] * 8
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)],
-            names=["host", "a", "c", "page", "body", "block", "s", "tokens"],
-        )
+        for first in range(0, batch.num_rows, PAGES):
+            part = batch.slice(first, PAGES)
+            pages = [(i, b) for i, (b, sure) in enumerate(blocks_of(t) for t in part.column("html").to_pylist()) if sure]
+            texts = [t for _, b in pages for t in b]
+            page = np.repeat([i for i, _ in pages], [len(b) for _, b in pages]).astype(np.int64)
+            body = np.repeat(np.array([_key("\n\n".join(b)) for _, b in pages], np.int64), [len(b) for _, b in pages])
+            block, size = np.array([_key(t) for t in texts], np.int64), np.array([t.count(" ") + 1 for t in texts], np.int32)
+            text, columns = _context_rows(texts)
+            yield pa.RecordBatch.from_arrays(
+                [part.column("host").take(pa.array(page[text])), pa.array(body[text]), pa.array(block[text]), pa.array(size[text]), *columns],
+                names=["host", "body", "block", "size", "a", "c", "s", "tokens"],
+            )
 
 
-def _token_hashes(text: str) -> np.ndarray:
-    words = text.encode().split(b" ")
-    data = np.frombuffer(b"".join(words), np.uint8)
-    end = np.cumsum([len(w) for w in words])
-    return span_hash(prefix_hash(data), end - [len(w) for w in words], end)
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts of blocks that are rows."""
+    for batch in slices(batches, "text"):
+        text, columns = _context_rows(batch.column("text").to_pylist())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c).take(pa.array(text)) for c in ("host", "page", "body", "block")] + columns,
+            names=["host", "page", "body", "block", "a", "c", "s", "tokens"],
+        )
 
 
 def repeated_runs(contexts: list[np.ndarray], low: np.ndarray, high: np.ndarray, run: int = RUN) -> list[np.ndarray]:
@@ -231,6 +290,59 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
 
+def _articles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of the pages with an article, without the blocks of their host's template."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, PAGES):
+            part = batch.slice(first, PAGES)
+            rows, texts = [], []
+            for i, (html, template) in enumerate(zip(part.column("html").to_pylist(), part.column("template").to_pylist(), strict=True)):
+                blocks, sure = blocks_of(html)
+                if sure:
+                    out = set(template or ())
+                    rows.append(i)
+                    texts.append("\n\n".join(b for b in blocks if not out or _key(b) not in out))
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row").take(pa.array(rows, pa.int64())), pa.array(texts, pa.string())], names=["row", "text"]
+            )
+
+
+def _marks(contexts: DataFrame) -> DataFrame:
+    """The windows of every context that occur on two distinct pages: ``hits``, places in the context."""
+    distinct = contexts.groupBy("host", "a", "c").agg(
+        F.min("body").alias("low"), F.max("body").alias("high"), F.first("tokens").alias("tokens")
+    )
+    marks = distinct.repartition("host", "a").sortWithinPartitions("host", "a").mapInArrow(
+        _marked, "host string, a bigint, c bigint, hits array<bigint>"
+    )
+    return marks.where("size(hits) > 0")
+
+
+def templates(rows: DataFrame, survey: DataFrame) -> DataFrame:
+    """``host`` and ``template``: hashes of the blocks that the host's suffix array finds in its template."""
+    sure = survey.where("sure")
+    hosts = sure.groupBy("host").agg(F.count_distinct("body").alias("bodies")).where(F.col("bodies") >= TEMPLATE_PAGES)
+    # Hosts go as hashes where every anchor crosses the network. Copies count here, so this keeps
+    # too many anchors, never too few.
+    enough = hosts.select(F.xxhash64("host").alias("site"), "host", "bodies")
+    counted = sure.select(F.xxhash64("host").alias("site"), F.explode("anchors").alias("a")).groupBy("site", "a").agg(F.count("*").alias("k"))
+    often = counted.join(broadcast_if_small(enough), "site").where("2 * k > bodies").select("host", "a")
+    often = stage(often, "anchors")
+    schema = "host string, body bigint, block bigint, size int, a bigint, c bigint, s int, tokens array<bigint>"
+    every = rows.select("host", "html").mapInArrow(_article_contexts, schema)
+    contexts = stage(every.join(broadcast_if_small(often), ["host", "a"]), "contexts")
+    hits = contexts.join(_marks(contexts), ["host", "a", "c"])
+    hits = hits.select("host", "body", "block", "size", "s", "tokens", F.explode("hits").alias("at")).select(
+        "host", "body", "block", "size", (F.col("s") + F.col("at")).alias("at"), F.xxhash64(F.slice("tokens", F.col("at").cast("int") + 1, RUN)).alias("w")
+    )
+    shared = hits.groupBy("host", "w").agg(F.count_distinct("body").alias("k")).join(hosts, "host").where("2 * k > bodies")
+    places = hits.join(shared.select("host", "w"), ["host", "w"]).groupBy("host", "block", "size").agg(F.array_sort(F.collect_set("at")).alias("at"))
+    reach = F.aggregate("at", F.lit(0).cast("bigint"), lambda end, at: F.when(at <= end, F.greatest(end, at + RUN)).otherwise(end))
+    found = stage(places.where(reach >= F.col("size")).groupBy("host").agg(F.collect_set("block").alias("template")), "templates")
+    discard(often, contexts)
+    return found
+
+
 def main_text(
     pages: DataFrame, id: str = "page_id", url: str = "url", html: str = "html", keep: list[str] | None = None
 ) -> DataFrame:
@@ -242,25 +354,20 @@ def main_text(
         F.col(html).cast("string").alias("html"),
     )
     row = rows.schema["row"].dataType.simpleString()
-    schema = f"row {row}, page bigint, host string, blocks array<string>, sure boolean"
-    read = stage(rows.mapInArrow(_parsed, schema), "blocks")  # parsed once, used thrice
-    rest = read.where("NOT sure")
+    schema = f"row {row}, page bigint, host string, blocks array<string>, sure boolean, body bigint, anchors array<bigint>"
+    survey = stage(rows.mapInArrow(_surveyed, schema), "survey")
+    known = rows.select("row", "host", "html").join(broadcast_if_small(templates(rows, survey)), "host", "left")
+    sure = known.select("row", "html", "template").mapInArrow(_articles, f"row {row}, text string")
+    rest = survey.where("NOT sure").select("row", "page", "host", "blocks")
     # Rows with equal page ids are one page, with one body.
     bodies = rest.groupBy("page").agg(F.min(F.xxhash64("blocks")).alias("body"))
     open_blocks = rest.join(bodies, "page").select("host", "page", "body", F.posexplode("blocks").alias("block", "text"))
-    schema = "host string, a bigint, c bigint, page bigint, body bigint, block int, s int, tokens array<bigint>"
+    schema = "host string, page bigint, body bigint, block int, a bigint, c bigint, s int, tokens array<bigint>"
     contexts = open_blocks.mapInArrow(_contexts, schema)
-    distinct = contexts.groupBy("host", "a", "c").agg(
-        F.min("body").alias("low"), F.max("body").alias("high"), F.first("tokens").alias("tokens")
-    )
-    marks = distinct.repartition("host", "a").sortWithinPartitions("host", "a").mapInArrow(
-        _marked, "host string, a bigint, c bigint, hits array<bigint>"
-    )
-    hits = contexts.select("host", "a", "c", "page", "block", "s").join(marks.where("size(hits) > 0"), ["host", "a", "c"])
+    hits = contexts.select("host", "a", "c", "page", "block", "s").join(_marks(contexts), ["host", "a", "c"])
     hits = hits.select("page", "block", F.explode("hits").alias("at"), "s").select(
         "page", F.struct("block", (F.col("s") + F.col("at")).alias("at")).alias("hit")
     )
     per_page = hits.groupBy("page").agg(F.collect_set("hit").alias("found"))
-    sure = read.where("sure").select("row", F.array_join("blocks", "\n\n").alias("text"))
     rest = rest.join(per_page, "page", "left").select("row", "blocks", "found")
     return sure.union(rest.mapInArrow(_kept, f"row {row}, text string"))
