@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from helioframe.llm import host_suffix_array
 from helioframe.llm.host_suffix_array import RUN
@@ -17,7 +18,10 @@ def _page(blocks: list[str]) -> str:
     return "<nav>menu</nav><article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article><footer>end</footer>"
 
 
-def test_template_inside_articles(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_template_inside_articles(spark, monkeypatch, small):
+    if not small:  # as for tables that are too large to broadcast
+        monkeypatch.setattr(host_suffix_array, "broadcast_if_small", lambda df: df.hint("shuffle_merge"))
     own = [" ".join(f"own{n}x{i}" for i in range(20)) for n in range(14)]
     pages = {}  # (host, number): blocks, and those that stay
     for n in range(12):
@@ -70,3 +74,10 @@ def test_articles_equal_a_plain_search(spark):
     assert any(e != "\n\n".join(blocks[i]) for i, e in expected.items())
     got = {r.row.page_id: r.text for r in host_suffix_array.main_text(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == expected
+
+
+def test_pages_without_id_or_url(spark):
+    own = [" ".join(f"own{n}x{i}" for i in range(20)) for n in range(12)]
+    rows = [(None, None, _page([own[n], PITCH])) for n in range(12)]
+    got = host_suffix_array.main_text(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted(r.text for r in got) == sorted(own)
